@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsframe.functions.times import hours_between
+from opsframe.storage import cut_lineage
 
 # Prices are added as decimals: the sums are exact, so they do not depend on
 # how rows were partitioned and may be subtracted from each other.
@@ -43,7 +44,8 @@ def price_totals_at(prices: DataFrame, marks: DataFrame, on: Sequence[str], bin_
     leaves out the prices of its own time.  No mark meets a price row: prices
     are first reduced to one row per time, added up within a bin of time, and
     the bins are added up across time.  A zone with a third of all prices is
-    thus spread over as many tasks as it has bins.
+    thus spread over as many tasks as it has bins.  The reduced timeline is
+    written once and used twice, so the price history is scanned once.
     """
     keys = list(on)
     ticks = prices.groupBy(*keys, "ts").agg(
@@ -52,7 +54,8 @@ def price_totals_at(prices: DataFrame, marks: DataFrame, on: Sequence[str], bin_
     zero = F.lit(0).cast(ticks.schema["_sum"].dataType)
     timeline = ticks.withColumn("side", F.lit(PRICES)).unionByName(
         marks.select(*keys, "ts", "side").distinct().withColumn("_sum", zero).withColumn("_n", F.lit(0).cast("long"))
-    ).withColumn("_bin", F.date_trunc(bin_unit, "ts"))
+    )
+    timeline = cut_lineage(timeline.withColumn("_bin", F.date_trunc(bin_unit, "ts")), "timeline")
 
     earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = timeline.groupBy(*keys, "_bin").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")).select(

@@ -21,11 +21,16 @@ HEAD_LINES = 20_000
 
 
 def text_lines(texts: DataFrame, file: str, text: str) -> DataFrame:
-    """Lines of texts that are whole within one row."""
+    """Lines of texts that are whole within one row.
+
+    The count is taken before the lines are generated; in the same select it
+    would be taken again for every line, and each line would carry the text.
+    """
     lines = F.split(text, "\n")
-    return texts.select(
-        F.col(file).alias("file"), F.size(lines).cast("long").alias("n_lines"), F.posexplode(lines).alias("_pos", "line")
-    ).select("file", F.col("_pos").cast("long").alias("ordinal"), "n_lines", "line")
+    counted = texts.select(F.col(file).alias("file"), F.size(lines).cast("long").alias("n_lines"), text)
+    return counted.select("file", "n_lines", F.posexplode(lines).alias("_pos", "line")).select(
+        "file", F.col("_pos").cast("long").alias("ordinal"), "n_lines", "line"
+    )
 
 
 def fastq_reads(lines: DataFrame) -> DataFrame:
