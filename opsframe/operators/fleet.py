@@ -89,11 +89,12 @@ def elapsed_axis(per_time: DataFrame, step_minutes: float = AXIS_STEP_MINUTES) -
     """Adds the ordinal axis in hours, and real hours since the first time of the metric.
 
     The ordinal axis counts the times that occur, so a gap shrinks it.  The
-    input has one row per metric and time; a window holds one metric's times.
+    input has one row per metric and period, so a window grows with the time
+    covered and not with the number of points.
     """
     by_time = Window.partitionBy("metric").orderBy("ts")
     seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
-    first = F.min(seconds).over(Window.partitionBy("metric"))
+    first = F.first(seconds).over(by_time)
     return per_time.select(
         "*",
         ((F.row_number().over(by_time) - 1) * F.lit(step_minutes) / F.lit(60.0)).alias("x_hours"),

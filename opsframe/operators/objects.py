@@ -2,7 +2,9 @@
 
 Listings have the columns ``key`` and ``size``.  No operator broadcasts a
 listing: both sides grow with the store, so the join strategy is left to
-adaptive execution, which also splits skewed keys.
+adaptive execution, which also splits skewed keys.  It can split only the left
+side of a semi or anti join, so the right side is made distinct first; that
+combines before the shuffle and uses the partitioning of the join.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ def orphan_names(domains: DataFrame, buckets: DataFrame, suffix: str = FILES_SUF
     def named(df: DataFrame) -> DataFrame:
         return suffix_filter(df.select("name"), "name", suffix)
 
-    return named(domains).distinct().join(named(buckets), "name", "left_anti")
+    return named(domains).distinct().join(named(buckets).distinct(), "name", "left_anti")
 
 
 def orphan_pairs(
@@ -116,13 +118,19 @@ def name_pairs(files: DataFrame, project: str, seed: str, name: str = "name") ->
 
 def skip_existing(objects: DataFrame, existing: DataFrame) -> DataFrame:
     """Objects whose key is not at the target yet."""
-    return objects.join(existing.select("key"), "key", "left_anti")
+    return objects.join(existing.select("key").distinct(), "key", "left_anti")
+
+
+def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of ``left`` that ``right`` does not have."""
+    return left.subtract(right.distinct())
 
 
 def tested_dirs(changed: DataFrame, children: DataFrame, within: str = "src", mark: str = "test") -> DataFrame:
     """Directories of changed paths containing ``within`` that hold a child directory named with ``mark``."""
     dirs = changed.filter(F.col("path").contains(within)).select(dirname(F.col("path")).alias("dir")).distinct()
-    return dirs.join(children.filter(F.col("child").contains(mark)).select("dir"), "dir", "left_semi")
+    holding = children.filter(F.col("child").contains(mark)).select("dir").distinct()
+    return dirs.join(holding, "dir", "left_semi")
 
 
 def chunk_plan(objects: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:

@@ -29,7 +29,9 @@ def _column(order: str | Column) -> Column:
     return F.col(order) if isinstance(order, str) else order
 
 
-def _hashable(df: DataFrame) -> list[str]:
+def _row_hash(df: DataFrame) -> Column:
+    """A hash over all columns; those that cannot be hashed enter as JSON."""
+
     def plain(kind: T.DataType) -> bool:
         if isinstance(kind, T.ArrayType):
             return plain(kind.elementType)
@@ -37,7 +39,8 @@ def _hashable(df: DataFrame) -> list[str]:
             return all(plain(f.dataType) for f in kind.fields)
         return not isinstance(kind, (T.MapType, T.VariantType))
 
-    return [f.name for f in df.schema.fields if plain(f.dataType)]
+    parts = [F.col(f.name) if plain(f.dataType) else F.to_json(F.struct(f.name)) for f in df.schema.fields]
+    return F.xxhash64(*parts)
 
 
 def range_parts(df: DataFrame, *order: str | Column) -> DataFrame:
@@ -50,10 +53,9 @@ def range_parts(df: DataFrame, *order: str | Column) -> DataFrame:
     bounds of a range partitioning are sampled and would differ if the rows
     were computed again.
     """
-    tie = F.xxhash64(*[F.col(c) for c in _hashable(df)])
     keys = [*map(_column, order), F.col("_tie"), F.col("_copy")]
     ranged = (
-        df.withColumn("_tie", tie)
+        df.withColumn("_tie", _row_hash(df))
         .withColumn("_copy", F.monotonically_increasing_id())
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)

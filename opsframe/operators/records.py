@@ -27,7 +27,8 @@ def text_lines(texts: DataFrame, file: str, text: str) -> DataFrame:
     would be taken again for every line, and each line would carry the text.
     """
     lines = F.split(text, "\n")
-    counted = texts.select(F.col(file).alias("file"), F.size(lines).cast("long").alias("n_lines"), text)
+    n_lines = F.coalesce(F.size(lines), F.lit(0)).cast("long")
+    counted = texts.select(F.col(file).alias("file"), n_lines.alias("n_lines"), text)
     return counted.select("file", "n_lines", F.posexplode(lines).alias("_pos", "line")).select(
         "file", F.col("_pos").cast("long").alias("ordinal"), "n_lines", "line"
     )

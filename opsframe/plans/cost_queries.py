@@ -10,6 +10,8 @@ from opsframe.operators import cost
 from opsframe.plans import tables as t
 from opsframe.plans.registry import query
 from opsframe.plans.reports import run_report as report_of_run
+from opsframe.sinks import text as sink
+from opsframe.storage import scratch_path
 
 PRICES = "prices AS (SELECT user_id % 5 AS zone, ts, value AS price FROM events WHERE event_type = 'purchase')"
 
@@ -66,7 +68,7 @@ def fleet_cost_median(spark, sf_dir):
     return cost.fleet_cost_median(instance_costs(spark, sf_dir, "metric", "id"))
 
 
-@query(f"""
+REPORT = f"""
 WITH {PRICES}, {BY_USER},
 run AS (
   SELECT (SELECT count(*) FROM documents) AS samples, count(*) AS nodes, arg_min(avg_price, id) AS avg_price,
@@ -84,9 +86,10 @@ lines AS (
     {{'place': 10, 'label': 'Total Cost of Cluster', 'value': printf('$%.4f', instance_cost * nodes)}},
     {{'place': 11, 'label': 'Cost Per Sample', 'value': printf('$%.4f', instance_cost * nodes / samples)}}
   ]) AS line FROM run)
-SELECT line.place AS place, line.label AS label, line.value AS value FROM lines
-""")
-def run_report(spark, sf_dir):
+"""
+
+
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = t.objects(spark, sf_dir).agg(F.count(F.lit(1)).alias("samples")).scalar()
     run = (
         instance_costs(spark, sf_dir, "id")
@@ -103,6 +106,18 @@ def run_report(spark, sf_dir):
     return report_of_run(run)
 
 
+@query(REPORT + "SELECT line.place AS place, line.label AS label, line.value AS value FROM lines")
+def run_report(spark, sf_dir):
+    return report(spark, sf_dir)
+
+
+@query(REPORT + "SELECT line.label || ': ' || line.value AS line FROM lines")
+def report_sink(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    sink.write_report(report(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query("""
 SELECT user_id AS id, ts, value AS price FROM events
 WHERE event_type = 'purchase' AND ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-02-01'

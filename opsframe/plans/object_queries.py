@@ -99,7 +99,7 @@ SELECT doc_id || '--files' AS name FROM documents EXCEPT SELECT doc_id || '--fil
 """)
 def set_difference(spark, sf_dir):
     files = objects.suffix_filter(domains(spark, sf_dir), "name", objects.FILES_SUFFIX)
-    return files.subtract(buckets(spark, sf_dir))
+    return objects.set_difference(files, buckets(spark, sf_dir))
 
 
 @query(f"""
@@ -144,8 +144,15 @@ def rename_join(spark, sf_dir):
     return objects.rename_join(files, pairs)
 
 
-@query(f"WITH {UUIDS} SELECT * FROM pairs")
+@query(f"WITH {UUIDS} SELECT project || chr(9) || stem || chr(9) || uuid AS line FROM pairs")
 def name_pair_sink(spark, sf_dir):
+    path = scratch_path(spark, "name-pairs")
+    sink.write_name_pairs(pairs_of_documents(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query(f"WITH {UUIDS} SELECT * FROM pairs")
+def name_pair_scan(spark, sf_dir):
     path = scratch_path(spark, "name-pairs")
     sink.write_name_pairs(pairs_of_documents(spark, sf_dir), path)
     return manifests.read_name_pairs(spark, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsframe.operators import records
@@ -73,13 +74,16 @@ def line_rewrite(spark, sf_dir):
     return records.line_rewrite(t.document_lines(spark, sf_dir), RULES).select("file", "ordinal", "line")
 
 
-@query("""
-WITH numbered AS (SELECT o_orderkey::VARCHAR AS line, row_number() OVER (ORDER BY o_orderkey) - 1 AS ordinal FROM orders)
-SELECT ordinal, count(*) OVER () AS n_lines, line FROM numbered
-""")
+@query("SELECT o_orderkey::VARCHAR AS line, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders")
 def line_ordinals(spark, sf_dir):
-    # One text file of all orders, read back by several tasks with its line numbers.
+    # Order keys as text files that follow each other in key order, read back with
+    # their line numbers; one row per file tells how many lines stand before it.
     path = scratch_path(spark, "text")
     keys = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("line"), "o_orderkey")
-    keys.repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey").select("line").write.text(path)
-    return numbered.read_lines(spark, path).select("ordinal", "n_lines", "line")
+    keys.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select("line").write.text(path)
+    lines = numbered.read_lines(spark, path)
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = lines.select("file", "n_lines").distinct().select(
+        "file", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)).alias("before")
+    )
+    return lines.join(files, "file").select("line", (F.col("before") + F.col("ordinal")).alias("place"))

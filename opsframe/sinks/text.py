@@ -17,8 +17,8 @@ def append_metric_tsv(points: DataFrame, path: str) -> None:
     """
     rows = points.select("id", "value", F.date_format("ts", TIME_TEXT).alias("ts"), "metric")
     (
-        rows.repartitionByRange("metric", "ts")
-        .sortWithinPartitions("metric", "ts")
+        rows.repartitionByRange("metric", "ts", "id")
+        .sortWithinPartitions("metric", "ts", "id")
         .write.partitionBy("metric")
         .mode("append")
         .option("sep", "\t")
@@ -31,6 +31,11 @@ def write_lines(df: DataFrame, path: str, column: str = "line") -> None:
     df.select(column).write.text(path)
 
 
+def write_ragged(lines: DataFrame, path: str) -> None:
+    """One line per instance, of differing length, below the folder of each metric."""
+    lines.select("metric", "line").write.partitionBy("metric").text(path)
+
+
 def write_name_pairs(pairs: DataFrame, path: str) -> None:
     """``project, stem, uuid`` divided by tabs."""
     pairs.select("project", "stem", "uuid").write.option("sep", "\t").option("quote", "").csv(path)
