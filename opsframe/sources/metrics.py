@@ -22,7 +22,9 @@ def read_metric_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .csv(directory)
     )
-    return _values_only(rows.select("*", F.substring_index("_metadata.file_name", ".", 1).alias("metric")))
+    # File names in the metadata are escaped as in a URL, where a plus sign stands for itself.
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+    return _values_only(rows.select("*", F.substring_index(name, ".", 1).alias("metric")))
 
 
 def read_metric_table(spark: SparkSession, directory: str) -> DataFrame:
