@@ -197,7 +197,9 @@ def consecutive_runs(
 
     ``run`` is the global place of the first row of the run, ``run_place`` the
     0-based place within it.  Each slice finds its own starts; a run that
-    reaches over slices is continued from one row per slice.
+    reaches over slices is continued from one row per slice.  Those rows come
+    from a first pass over the written slices that reads only the columns
+    ``same``.
     """
     parts = range_parts(df, *order)
     totals = part_totals(parts)
@@ -219,7 +221,6 @@ def consecutive_runs(
     started = placed.withColumn("_first", previous.isNull() | ~previous.eqNullSafe(key)).withColumn(
         "_run", F.max(F.when(F.col("_first"), F.col("_rank"))).over(in_slice)
     )
-    started = cut_lineage(started.select(*df.columns, PART, "_rank", "_run"), "runs")
 
     open_run = F.max("_run").over(slices.rowsBetween(Window.unboundedPreceding, -1))
     opened = started.groupBy(PART).agg(F.max("_run").alias("_run")).select(PART, open_run.alias("_open"))

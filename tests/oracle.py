@@ -44,6 +44,13 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# DuckDB type of each Spark type.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _cell(value) -> str:
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return "NULL"
@@ -72,10 +79,14 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_d
     expected = answer.fetchall()
     if sorted(result.columns) != sorted(answer.columns):
         return False, f"columns {result.columns} / {answer.columns}"
+    expected_types = dict(zip(answer.columns, map(str, answer.types)))
+    wrong = {c: (kind, expected_types[c]) for c, kind in result.dtypes if TYPES.get(kind) != expected_types[c]}
+    if wrong:
+        return False, f"types {wrong}"
     n, mine, lines = _digest(result.columns, rows)
     m, theirs, wanted = _digest(answer.columns, expected)
     if mine == theirs and n:
-        return True, f"{n} rows, {took:.1f}s, {dict(result.dtypes)} / {list(map(str, answer.types))}"
+        return True, f"{n} rows, {took:.1f}s"
     extra = sorted(set(lines) - set(wanted))[:3]
     missing = sorted(set(wanted) - set(lines))[:3]
     return False, f"rows {n} / {m}\n  only Spark:  {extra}\n  only DuckDB: {missing}"
