@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsframe.functions.times import hours_between
+from opsframe.functions.times import hours_between, iso_to_time, stop_time
 from opsframe.storage import cut_lineage
 
 # Prices are added as decimals: the sums are exact, so they do not depend on
@@ -17,6 +17,22 @@ PRICE = "decimal(18,8)"
 BEFORE_PRICES, PRICES, AFTER_PRICES = 0, 1, 2
 
 
+def instance_spans(ids: DataFrame, inventory: DataFrame, now: Column) -> DataFrame:
+    """Start and stop of each wanted instance: its launch time, and when it ended or ``now``.
+
+    ``inventory`` has one row per instance with ``launch_time`` as ISO text,
+    ``state`` and ``reason``.  An id the inventory lacks fails the query.
+    """
+    known = inventory.select("id", "launch_time", "state", "reason")
+    missing = F.raise_error(F.concat(F.lit("instance not found: "), F.col("id").cast("string"))).cast("string")
+    launched = F.when(F.col("launch_time").isNotNull(), F.col("launch_time")).otherwise(missing)
+    return ids.join(known, "id", "left").select(
+        *ids.columns,
+        iso_to_time(launched).alias("start"),
+        iso_to_time(stop_time(F.col("state"), F.col("reason"), now)).alias("stop"),
+    )
+
+
 def price_scan(
     prices: DataFrame,
     instance_type: str | None = None,

@@ -9,6 +9,7 @@ from opsframe.functions import times
 from opsframe.operators import cost
 from opsframe.plans import tables as t
 from opsframe.plans.registry import query
+from opsframe.plans.reports import cost_line as line_of_costs
 from opsframe.plans.reports import run_report as report_of_run
 from opsframe.sinks import text as sink
 from opsframe.storage import scratch_path
@@ -68,6 +69,15 @@ def fleet_cost_median(spark, sf_dir):
     return cost.fleet_cost_median(instance_costs(spark, sf_dir, "metric", "id"))
 
 
+@query(f"""
+WITH {PRICES}, {BY_SERIES}
+SELECT printf('Cost:' || chr(9) || '~$%.2f', round(median(cost), 2)) AS line
+FROM (SELECT metric, sum(hours * avg_price) AS cost FROM costs GROUP BY metric)
+""")
+def cost_line(spark, sf_dir):
+    return line_of_costs(instance_costs(spark, sf_dir, "metric", "id"))
+
+
 REPORT = f"""
 WITH {PRICES}, {BY_USER},
 run AS (
@@ -143,6 +153,31 @@ def duration_hours(spark, sf_dir):
 STATE = "CASE o_orderstatus WHEN 'F' THEN 'terminated' WHEN 'P' THEN 'stopped' ELSE 'running' END"
 
 
+def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as instances that name their stop time in a reason."""
+    state = F.when(F.col("o_orderstatus") == "F", "terminated").when(F.col("o_orderstatus") == "P", "stopped")
+    ended = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return t.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.lit("1992-01-01T00:00:00.000Z").alias("launch_time"),
+        state.otherwise("running").alias("state"),
+        F.concat(F.lit("User initiated ("), ended, F.lit(" GMT)")).alias("reason"),
+    )
+
+
+NOW = "2002-01-01 00:00:00"
+
+
+@query(f"""
+SELECT DISTINCT l_orderkey AS id, TIMESTAMP '1992-01-01' AS start,
+       CASE WHEN {STATE} = 'running' THEN TIMESTAMP '{NOW}' ELSE o_orderdate END AS stop
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+""")
+def instance_spans(spark, sf_dir):
+    ids = t.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")).distinct()
+    return cost.instance_spans(ids, instances(spark, sf_dir), F.lit(NOW).cast("timestamp_ntz"))
+
+
 @query(f"""
 SELECT o_orderkey, {STATE} AS state,
        CASE WHEN {STATE} = 'running' THEN '2002-01-01T00:00:00.000Z'
@@ -150,14 +185,9 @@ SELECT o_orderkey, {STATE} AS state,
 FROM orders
 """)
 def stop_time(spark, sf_dir):
-    state = F.when(F.col("o_orderstatus") == "F", "terminated").when(F.col("o_orderstatus") == "P", "stopped")
-    instances = t.table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        state.otherwise("running").alias("state"),
-        F.concat(F.lit("User initiated ("), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" GMT)")).alias("reason"),
-    )
-    now = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
-    return instances.select("o_orderkey", "state", times.stop_time(F.col("state"), F.col("reason"), now).alias("stop"))
+    now = F.lit(NOW).cast("timestamp_ntz")
+    stop = times.stop_time(F.col("state"), F.col("reason"), now)
+    return instances(spark, sf_dir).select(F.col("id").alias("o_orderkey"), "state", stop.alias("stop"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso FROM orders")

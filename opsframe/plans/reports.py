@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsframe.operators.cost import run_totals
+from opsframe.operators.cost import fleet_cost_median, run_totals
 from opsframe.operators.fleet import elapsed_axis, fleet_band, grid_dedup, metric_info_zip
 
 # Labels of the run report, in order, with the column each one shows.
@@ -37,6 +37,11 @@ def fleet_report(points: DataFrame, tie: str | Column = "value") -> DataFrame:
     return band.join(F.broadcast(metric_info_zip(points)), "metric", "left")
 
 
+def cost_line(costs: DataFrame) -> DataFrame:
+    """The one line that reports the median cost of a fleet, to cents."""
+    return fleet_cost_median(costs).select(F.format_string("Cost:\t~$%.2f", "cost").alias("line"))
+
+
 def run_report(run: DataFrame) -> DataFrame:
     """Place, label and text of each line of a run report, from the one row that describes the run."""
     full = run_totals(run)

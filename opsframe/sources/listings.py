@@ -16,6 +16,8 @@ def read_listing(spark: SparkSession, root: str, pattern: str | None = None, rec
     """Key below the root, size and change time of each file; ``pattern`` selects by file name.
 
     Only the file index is read: without the ``content`` column no file is opened.
+    Spark keeps that index on the driver; for a store with very many objects
+    read its inventory table instead and use ``object_listing`` on it.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session()
+    session = local_session(4)
     yield session
     session.stop()
 

@@ -116,6 +116,19 @@ def test_stop_time(spark):
     assert got == ["2016-01-09T22:11:05.000Z", "2016-01-09T22:11:05.000Z", "2024-05-06T07:08:09.000Z", None]
 
 
+def test_spans_come_from_the_inventory(spark):
+    now = F.lit(at(10)).cast("timestamp_ntz")
+    known = spark.createDataFrame(
+        [("i1", "2024-01-01T00:00:00.000Z", "running", None),
+         ("i2", "2024-01-01T01:00:00.000Z", "terminated", "User initiated (2024-01-01 05:00:00 GMT)")],
+        "id string, launch_time string, state string, reason string")
+    ids = spark.createDataFrame([("i1",), ("i2",)], "id string")
+    spans = cost.instance_spans(ids, known, now)
+    assert sorted(tuple(r) for r in spans.collect()) == [("i1", at(0), at(10)), ("i2", at(1), at(5))]
+    with pytest.raises(Exception, match="instance not found: i3"):
+        cost.instance_spans(spark.createDataFrame([("i3",)], "id string"), known, now).collect()
+
+
 def test_time_texts(spark):
     df = spark.createDataFrame([("2016-02-23 01:02:03", 1454355507.550286)], "text string, epoch double")
     row = df.select(
