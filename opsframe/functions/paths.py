@@ -90,6 +90,11 @@ def url_key(url: Column) -> Column:
     return F.ltrim(url_path(url), F.lit("/"))
 
 
+def bucket_of(url: Column) -> Column:
+    """Bucket of an ``s3`` URL; any other text names the bucket itself."""
+    return F.when(url_scheme(url) == "s3", url_host(url)).otherwise(url_key(url))
+
+
 def require_scheme(url: Column, *schemes: str) -> Column:
     """``url``, or a failure of the query if its scheme is none of ``schemes``."""
     message = F.concat(F.lit("wrong URL scheme: "), url)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -19,12 +20,28 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="opsframe-")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that holds what this application wrote."""
+    return f"{shared_dir(spark)}/opsframe/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/opsframe/{label}-{uuid.uuid4().hex}"
+    """A path in the scratch folder that nothing has used before."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes all intermediate tables of this application; results that still read them are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

@@ -47,6 +47,10 @@ def test_url_parts_agree_with_the_standard_library(spark):
         assert values(spark, column(F.col("x")), URLS) == [want(urlparse(u)) for u in URLS]
 
 
+def test_buckets(spark):
+    assert values(spark, paths.bucket_of(F.col("x")), ["s3://b/dir/k", "b", "/b"]) == ["b", "b", "b"]
+
+
 def test_url_guards(spark):
     assert values(spark, paths.require_scheme(F.col("x"), "s3"), ["s3://b/k"]) == ["s3://b/k"]
     with pytest.raises(Exception, match="wrong URL scheme"):

@@ -57,10 +57,39 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     path = storage.scratch_path(spark, "x")
     if configured:
-        assert path.startswith(configured.rstrip("/") + "/opsframe/x-")
+        assert path.startswith(configured.rstrip("/") + "/opsframe/")
+        assert spark.sparkContext.applicationId in path
     assert path != storage.scratch_path(spark, "x")
 
 
+def test_scratch_is_removed_per_application(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_dir", lambda _: str(tmp_path))
+    storage.cut_lineage(spark.range(5), "five")
+    other = tmp_path / "opsframe" / "another-application"
+    other.mkdir()
+    assert len(list((tmp_path / "opsframe").iterdir())) == 2
+    storage.remove_scratch(spark)
+    assert list((tmp_path / "opsframe").iterdir()) == [other]
+
+
+def test_cluster_without_shared_folder_is_refused(monkeypatch):
+    class Context:
+        master = "yarn"
+
+    class Conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session)
+    Context.master = "local[2]"
+    assert storage.shared_dir(Session) == storage.shared_dir(Session)
+
+
 def test_cut_lineage_reads_written_rows(spark):
     cut = storage.cut_lineage(spark.range(5), "five")
     assert cut.count() == 5 and cut.dtypes == spark.range(5).dtypes
