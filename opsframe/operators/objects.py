@@ -102,10 +102,14 @@ def orphan_pairs(
 
 
 def rename_join(files: DataFrame, name_pairs: DataFrame, extension: str = ".fastq.gz") -> DataFrame:
-    """New name ``stem.ext`` of each file called ``uuid.ext``."""
+    """New name ``stem.ext`` of each file called ``uuid.ext``.
+
+    Repeated lines of the name pairs count once, so copies of a file are not
+    paired with copies of its line.
+    """
     pairs = name_pairs.select(
         F.concat("uuid", F.lit(extension)).alias("name"), F.concat("stem", F.lit(extension)).alias("new_name")
-    )
+    ).distinct()
     return files.join(pairs, "name")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsframe.functions import paths, sizes
@@ -112,8 +112,9 @@ def orphan_pairs(spark, sf_dir):
 
 @query("SELECT doc_id, doc_id || '--jobs' AS partner FROM documents")
 def suffix_swap(spark, sf_dir):
-    names = t.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit("--files")).alias("name"))
-    return names.select("doc_id", paths.suffix_swap(F.col("name"), objects.FILES_SUFFIX, objects.JOBS_SUFFIX).alias("partner"))
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(objects.FILES_SUFFIX))
+    partner = paths.suffix_swap(name, objects.FILES_SUFFIX, objects.JOBS_SUFFIX)
+    return t.table(spark, sf_dir, "documents").select("doc_id", partner.alias("partner"))
 
 
 UUIDS = f"""
@@ -318,25 +319,30 @@ def optional_filter(spark, sf_dir):
 
 
 INSTANCES = """
-instances AS (
-  SELECT s_suppkey // 8 AS reservation, s_name AS id, CASE WHEN s_acctbal > 0 THEN 'running' ELSE 'stopped' END AS state,
+machines AS (
+  SELECT s_suppkey AS reservation, s_name, CASE WHEN s_acctbal > 0 THEN 'running' ELSE 'stopped' END AS state,
          CASE WHEN s_nationkey >= 5 THEN '10.0.0.' || s_nationkey END AS ip, 'zone' || s_nationkey AS placement
-  FROM supplier)
+  FROM supplier),
+instances AS (
+  SELECT reservation, s_name || '-worker' AS id, state, ip, placement FROM machines
+  UNION ALL SELECT reservation, s_name || '-leader', 'running', NULL, placement FROM machines WHERE ip IS NOT NULL)
 """
 
 
 def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as instances, nested in reservations of at most eight, and flattened again."""
+    """Suppliers as reservations of one worker, and a leader where the worker has an address."""
     nation = F.col("s_nationkey").cast("string")
-    instance = F.struct(
-        F.col("s_name").alias("id"),
-        F.when(F.col("s_acctbal") > 0, "running").otherwise("stopped").alias("state"),
-        F.when(F.col("s_nationkey") >= 5, F.concat(F.lit("10.0.0."), nation)).alias("ip"),
-        F.concat(F.lit("zone"), nation).alias("placement"),
-    )
-    reservation = sizes.int_div(F.col("s_suppkey"), F.lit(8)).alias("reservation")
-    nested = t.table(spark, sf_dir, "supplier").groupBy(reservation).agg(F.collect_list(instance).alias("instances"))
-    return inventory.inventory_flatten(nested)
+    address = F.when(F.col("s_nationkey") >= 5, F.concat(F.lit("10.0.0."), nation))
+
+    def instance(role: str, state: Column, ip: Column) -> Column:
+        name = F.concat("s_name", F.lit(f"-{role}"))
+        return F.struct(name.alias("id"), state.alias("state"), ip.alias("ip"), F.concat(F.lit("zone"), nation).alias("placement"))
+
+    worker = instance("worker", F.when(F.col("s_acctbal") > 0, "running").otherwise("stopped"), address)
+    leader = instance("leader", F.lit("running"), F.lit(None).cast("string"))
+    nested = F.when(address.isNull(), F.array(worker)).otherwise(F.array(worker, leader))
+    reservations = t.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("reservation"), nested.alias("instances"))
+    return inventory.inventory_flatten(reservations)
 
 
 @query(f"WITH {INSTANCES} SELECT * FROM instances")

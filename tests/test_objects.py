@@ -60,6 +60,9 @@ def test_rename_undoes_the_uuid_map(spark):
     import uuid
 
     assert all(uuid.UUID(i).version == 4 and uuid.UUID(i).variant == uuid.RFC_4122 for i in ids)
+    twice = objects.rename_join(
+        pairs.select(F.concat("uuid", F.lit(".fastq.gz")).alias("name")), pairs.union(pairs))
+    assert twice.count() == 2
     renamed = objects.rename_join(pairs.select(F.concat("uuid", F.lit(".fastq.gz")).alias("name")), pairs)
     assert found(renamed, "new_name") == ["a.fastq.gz", "c.fastq.gz"]
 
