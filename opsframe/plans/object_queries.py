@@ -86,7 +86,7 @@ def buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.labelled_objects(spark, sf_dir).select(F.concat("key", F.lit("--files")).alias("name"))
 
 
-ORPHANS = "SELECT doc_id || '--files' AS name, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+ORPHANS = "SELECT DISTINCT doc_id || '--files' AS name, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
 
 
 @query(f"SELECT name FROM ({ORPHANS})")

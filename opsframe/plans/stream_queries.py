@@ -51,7 +51,7 @@ def stream_period_avg(spark, sf_dir):
     return no_zone(newest).select("metric", "id", "ts", t.r("value"))
 
 
-@query("SELECT event_type AS metric, user_id AS id, ts, value, event_id FROM events")
+@query("SELECT DISTINCT event_type AS metric, user_id AS id, ts, value, event_id FROM events")
 def stream_dedup(spark, sf_dir):
     # Every point arrives twice, as from overlapping polls; copies have the key of the original.
     points = stream_of_points(spark, sf_dir)
