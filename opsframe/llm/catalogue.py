@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from opsframe.llm import line_queries  # noqa: F401
+from opsframe.llm import jaccard_queries, line_queries  # noqa: F401
 from opsframe.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
