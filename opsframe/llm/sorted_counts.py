@@ -39,7 +39,7 @@ def write_file(uri: str, name: str, parts: list) -> None:
     store, folder = open_folder(uri)
     store.create_dir(folder)
     temporary = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    with store.open_output_stream(temporary) as out:
+    with store.open_output_stream(temporary, compression=None) as out:
         for part in parts:
             out.write(part)
     store.move(temporary, f"{folder}/{name}")
@@ -55,7 +55,7 @@ def map_file(uri: str, name: str, dtype) -> np.ndarray:
     if isinstance(store, pafs.LocalFileSystem):
         return np.memmap(path, dtype, "r")
     copy = tempfile.TemporaryFile()  # has no name, so nothing stays behind
-    with store.open_input_stream(path) as source:
+    with store.open_input_stream(path, compression=None) as source:
         while chunk := source.read(1 << 24):
             copy.write(chunk)
     copy.flush()
