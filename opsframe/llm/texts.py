@@ -137,20 +137,30 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool =
     return out
 
 
+def window_starts(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First key of every run of ``n`` keys within a text, and for each text where its runs begin in these."""
+    counts = np.maximum(np.diff(bounds) - n + 1, 0)
+    where = np.concatenate([[0], np.cumsum(counts)])
+    return np.repeat(bounds[:-1] - where[:-1], counts) + np.arange(where[-1]), where
+
+
 def windows(keys: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of ``n`` keys within a text, and for each text where its runs begin in these."""
-    sizes = np.diff(bounds)
-    counts = np.maximum(sizes - n + 1, 0)
-    where = np.concatenate([[0], np.cumsum(counts)])
-    if not where[-1]:
+    starts, where = window_starts(bounds, n)
+    if not len(starts):
         return np.zeros(0, _U64), where
     rolled = np.zeros(len(keys) - n + 1, _U64)
     for k in range(n):
         rolled = mix(rolled * _U64(0x9E3779B97F4A7C15) + keys[k : len(keys) - n + 1 + k])
-    starts = np.repeat(bounds[:-1] - where[:-1], counts) + np.arange(where[-1])
     return rolled[starts], where
 
 
+def per_text(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Keys that are equal only where they stand in the same text."""
+    salt = mix(np.arange(1, len(bounds), dtype=_U64))
+    return mix(keys ^ np.repeat(salt, np.diff(bounds)))
+
+
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of ``values`` between each two bounds."""
     total = np.zeros(len(values) + 1, np.int64)
