@@ -5,8 +5,8 @@ n-grams, their prefix; n-grams that one document alone has are shared with nothi
 most documents have an empty prefix and meet no other.
 
 Sets that are equal form a class.  Classes of equal prefix, size and number of n-grams of their own form a group.
-Groups that share an n-gram of the prefix are paired, at first with one pivot for each n-gram, and pairs whose
-sizes rule out the threshold are dropped.  What is left is expanded to classes and verified on whole sets.
+Groups that share an n-gram of the prefix are paired, at first each with the best of its n-grams' pivots, and pairs
+whose sizes rule out the threshold are dropped.  What is left is expanded to classes and verified on whole sets.
 Links join components; later steps pair only what lies in different components, so that a large group of
 near copies is never written out as pairs.
 """
@@ -26,8 +26,8 @@ from opsframe.storage import cut_lineage, scratch_path
 
 #: Bits of the hashes that n-grams are counted by; the sets themselves hold 64-bit hashes.
 COUNT_BITS = 48
-#: Rounds in which each n-gram pairs its groups with one pivot.
-PIVOT_ROUNDS = 2
+#: Rounds in which each n-gram offers its groups one pivot, and each group takes one of those offered.
+PIVOT_ROUNDS = 3
 #: Classes whose sets a task holds at once while verifying.
 VERIFY_ROWS = 200
 
@@ -197,11 +197,11 @@ def similar_links(classes: DataFrame, percent: int) -> DataFrame | None:
         rows, pivots = _open_tokens(tokens, labels, F.xxhash64("node", F.lit(nth)) if nth else F.col("own"))
         if pivots.isEmpty():
             break
-        met = rows.alias("x").join(pivots.select("token", "pivot.own", "pivot.n", "pivot.node", "pivot.comp").alias("p"), F.col("x.token") == F.col("p.token"))
+        offered = pivots.select("token", "pivot.first", "pivot.own", "pivot.n", "pivot.node", "pivot.comp").alias("p")
+        met = rows.alias("x").join(offered, F.col("x.token") == F.col("p.token"))
         met = met.filter((F.col("x.comp") != F.col("p.comp")) & _possible("x", "p", percent))
-        pairs = met.select(
-            F.least("x.node", "p.node").alias("a"), F.greatest("x.node", "p.node").alias("b")
-        ).distinct()
+        taken = met.groupBy(F.col("x.node").alias("x")).agg(F.min(F.struct("p.first", "p.own", "p.n", "p.node")).alias("p"))
+        pairs = taken.select(F.least("x", "p.node").alias("a"), F.greatest("x", "p.node").alias("b")).distinct()
         tested = cut_lineage(tested.unionByName(_verified(pairs.join(tested, ["a", "b"], "left_anti"), classes, percent)), "tested")
     if not tested.filter("linked").isEmpty():
         labels = connected_components(tested.filter("linked"))
