@@ -24,13 +24,15 @@ from opsframe.llm import sorted_counts, texts
 from opsframe.storage import scratch_path
 
 #: Maps that the literal ranks are dealt to, by hash; a lookup reads one of them.
-RANK_MAPS = 1 << 14
+RANK_MAPS = 1 << 16
 #: Longer words are merged with a heap instead of a fold, whose time is cubic in their length.
 FOLD_BYTES = 64
 #: Hashes of pieces that a task remembers having passed on.
 REMEMBERED = 4 << 20
 
 _ASCII_SPACE = texts.SPACE
+_LETTER = np.isin(np.arange(256) | 0x20, np.arange(97, 123)) & (np.arange(256) < 128)
+_MARK = np.isin(np.arange(256), list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'))
 #: First bytes of characters of two or three bytes among which there is white space.
 _MAYBE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 
@@ -45,7 +47,8 @@ def pieces(part: texts.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every piece, and for each text where its pieces begin in these.
 
     A cut is made at a single ASCII white space between two characters that are surely none: before a space, which
-    belongs to the word behind it, and around any other, which is a match of its own.
+    belongs to the word behind it, and around any other, which is a match of its own.  Another is made between a
+    letter of A-Z, a-z or U+00C0 to U+00FF and an ASCII mark other than the apostrophe, in either order.
     """
     data, size = part.data, len(part.data)
     if not size:
@@ -60,7 +63,11 @@ def pieces(part: texts.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     after[part.offsets[1:][part.offsets[1:] > 0] - 1] = False
     alone = np.flatnonzero(space & before & after)
     begins = part.offsets[:-1][np.diff(part.offsets) > 0]
-    starts = np.unique(np.concatenate([begins, alone, alone[data[alone] != 0x20] + 1]))
+    mark, letter = _MARK[data], _LETTER[data]
+    accented = np.zeros(size, bool)  # where such a letter ends
+    accented[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    turns = np.flatnonzero(mark[1:] & (letter | accented)[:-1] | letter[1:] & mark[:-1]) + 1
+    starts = np.unique(np.concatenate([begins, alone, alone[data[alone] != 0x20] + 1, turns]))
     ends = np.append(starts[1:], size)
     return starts, ends, np.searchsorted(starts, part.offsets)
 
@@ -110,8 +117,13 @@ def distinct_pieces(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """``use`` of a value that is worked out once: an aggregate over nothing, which starts and finishes with it."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, use)
+
+
+def _joined(*arrays: Column) -> Column:
+    """The arrays one behind the other."""
+    return F.flatten(F.array(*arrays))
 
 
 def rank_lookup(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Column], Column]:
@@ -125,30 +137,36 @@ def rank_lookup(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Colum
 
 
 def fold_merges(word: Column, rank: Callable[[Column], Column]) -> Column:
-    """Ids of the tokens of a word given as hexadecimal bytes: again and again the first pair of lowest rank merges."""
+    """Ids of the tokens of a word given as hexadecimal bytes: again and again the first pair of lowest rank merges.
 
-    def pairs(parts: Column) -> Column:
-        behind = F.slice(parts, F.lit(2), F.size(parts) - 1)
-        return F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), behind, lambda a, b: rank(F.concat(a, b)))
-
-    def merge(parts: Column, at: Column) -> Column:
-        joined = F.concat(F.get(parts, at - 1), F.get(parts, at))
-        return F.concat(
-            F.slice(parts, F.lit(1), at - 1), F.array(joined), F.slice(parts, at + 2, F.greatest(F.size(parts) - at - 1, F.lit(0)))
+    The fold carries the parts ``p`` and the ranks ``r`` of neighbours, where ``r[i]`` belongs to the parts before and
+    behind place ``i``; a null at either end stands for the neighbour that is not there.  A merge looks up two ranks.
+    """
+    rest = F.lit(1 << 30)
+
+    def merge(parts: Column, ranks: Column, at: Column) -> Column:
+        joined = F.concat(F.get(parts, at - 2), F.get(parts, at - 1))
+        left, right = rank(F.concat(F.get(parts, at - 3), joined)), rank(F.concat(joined, F.get(parts, at)))
+        return F.struct(
+            _joined(F.slice(parts, F.lit(1), at - 2), F.array(joined), F.slice(parts, at + 1, rest)).alias("p"),
+            _joined(F.slice(ranks, F.lit(1), at - 2), F.array(left, right), F.slice(ranks, at + 2, rest)).alias("r"),
         )
 
-    def step(parts: Column, _: Column) -> Column:
-        def lowest(ranks: Column) -> Column:
-            least = F.array_min(ranks)
-            place = F.array_position(ranks, least).cast("int")
-            return F.when(least.isNull(), parts).otherwise(_let(place, lambda at: merge(parts, at)))
+    def step(state: Column, _: Column) -> Column:
+        placed = F.array_min(F.transform(state["r"], lambda rank, i: F.shiftleft(rank.cast("long"), 32) + i))
+        place = lambda found: found.bitwiseAND(F.lit((1 << 32) - 1)).cast("int") + 1
+        return _let(placed, lambda found: F.when(found.isNull(), state).otherwise(
+            _let(place(found), lambda at: merge(state["p"], state["r"], at))))
 
-        return F.when(F.size(parts) < 2, parts).otherwise(_let(pairs(parts), lowest))
+    def fold(single: Column) -> Column:
+        none = F.array(F.lit(None).cast("int"))
+        behind = F.slice(single, F.lit(2), rest)
+        pairs = F.zip_with(F.slice(single, F.lit(1), F.size(single) - 1), behind, lambda a, b: rank(F.concat(a, b)))
+        start = F.struct(single.alias("p"), _joined(none, pairs, none).alias("r"))
+        return F.aggregate(F.slice(single, F.lit(2), rest), start, step, lambda state: F.transform(state["p"], rank))
 
     single = F.regexp_extract_all(word, F.lit(".."), F.lit(0))
-    steps = F.sequence(F.lit(1), F.length(word).cast("int"), F.lit(2))
-    folded = F.transform(F.aggregate(steps, single, step), rank)
-    return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+    return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(single, fold)))
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
