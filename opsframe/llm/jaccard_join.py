@@ -5,7 +5,7 @@ n-grams, their prefix; n-grams that one document alone has are shared with nothi
 most documents have an empty prefix and meet no other.
 
 Sets that are equal form a class.  Classes of equal prefix, size and number of n-grams of their own form a group.
-Groups that share an n-gram of the prefix are paired, at first each with the best of its n-grams' pivots, and pairs
+Groups that share an n-gram of the prefix are paired, at first each with a few of its n-grams' pivots, and pairs
 whose sizes rule out the threshold are dropped.  What is left is expanded to classes and verified on whole sets.
 Links join components; later steps pair only what lies in different components, so that a large group of
 near copies is never written out as pairs.
@@ -26,8 +26,8 @@ from opsframe.storage import cut_lineage, scratch_path
 
 #: Bits of the hashes that n-grams are counted by; the sets themselves hold 64-bit hashes.
 COUNT_BITS = 48
-#: Rounds in which each n-gram offers its groups one pivot, and each group takes one of those offered.
-PIVOT_ROUNDS = 3
+#: Rounds in which each n-gram offers its groups one pivot, by how many of those offered each group takes.
+PIVOTS_TAKEN = [1, 8, 8]
 #: Classes whose sets a task holds at once while verifying.
 VERIFY_ROWS = 200
 
@@ -132,9 +132,22 @@ def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether two sets of these sizes and numbers of n-grams of their own can reach the threshold."""
+    """Whether two sets that share an n-gram can reach the threshold by it.
+
+    Their sizes and numbers of n-grams of their own must allow it, and the n-gram must be among the first ones, as
+    ``early`` has it, of the smaller set: two similar sets share one there.
+    """
     common = F.least(F.col(f"{a}.n") - F.col(f"{a}.own"), F.col(f"{b}.n") - F.col(f"{b}.own"))
-    return 100 * common >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - common)
+    smaller = F.struct(f"{a}.n", f"{a}.node") < F.struct(f"{b}.n", f"{b}.node")
+    early = F.when(smaller, F.col(f"{a}.early")).otherwise(F.col(f"{b}.early"))
+    return early & (100 * common >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - common))
+
+
+def _tokens(groups: DataFrame, percent: int) -> DataFrame:
+    """A row for each n-gram of each group's prefix; ``early`` if it is in the prefix for sets of at least its size."""
+    kept = F.ceil(2 * percent * F.col("n") / F.lit(100 + percent) - F.lit(1e-9))
+    each = groups.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "own")
+    return each.select("token", "node", "n", "own", (F.col("pos") < F.col("n") - kept + 1 - F.col("own")).alias("early"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +184,7 @@ def _component(rows: DataFrame, labels: DataFrame | None, node: str) -> DataFram
 def _open_tokens(tokens: DataFrame, labels: DataFrame | None, first: Column) -> tuple[DataFrame, DataFrame]:
     """The tokens whose groups lie in several components, and these tokens with their pivots, smallest by ``first``."""
     rows = cut_lineage(_component(tokens, labels, "node"), "tokens")
-    pivot = F.min(F.struct(first.alias("first"), "own", "n", "node", "comp")).alias("pivot")
+    pivot = F.min(F.struct(first.alias("first"), "own", "n", "node", "comp", "early")).alias("pivot")
     per_token = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), pivot)
     return rows, cut_lineage(per_token.filter("low <> high").select("token", "pivot"), "pivots")
 
@@ -180,27 +193,34 @@ def similar_links(classes: DataFrame, percent: int) -> DataFrame | None:
     """Labels ``node, label`` of the classes that are linked with another, from ``node, n, own, prefix, members``."""
     sized = classes.select("node", "n", "own", "prefix")
     grouped = cut_lineage(
-        sized.groupBy("n", "own", "prefix").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("size")), "groups"
+        sized.groupBy("n", "own", "prefix").agg(F.min("node").alias("node")), "groups"
     )
     group_of = sized.select("n", "own", "prefix", F.col("node").alias("member")).join(grouped, ["n", "own", "prefix"])
-    members = cut_lineage(group_of.filter("size > 1").select("node", "member", "n", "own"), "members")
-    tokens = cut_lineage(grouped.select(F.explode("prefix").alias("token"), "node", "n", "own"), "tokens")
+    others = group_of.filter("node <> member").select("node", "member", "n", "own", "prefix")
+    others = cut_lineage(others, "members")
 
-    # Members of a group with its first one.
-    inside = members.filter("node <> member").select(F.col("node").alias("a"), F.col("member").alias("b"))
+    # Members of a group with its first one; those that are not linked with it go on by themselves.
+    inside = others.select(F.col("node").alias("a"), F.col("member").alias("b"))
     tested = _verified(inside, classes, percent)
+    found = others.join(tested.select(F.col("b").alias("member"), "linked"), "member")
+    members = cut_lineage(found.filter("linked").select("node", "member"), "members")
+    alone = found.filter("not linked").select("n", "own", "prefix", F.col("member").alias("node"))
+    tokens = cut_lineage(_tokens(grouped.select("n", "own", "prefix", "node").unionByName(alone), percent), "tokens")
     labels = None
-    for nth in range(PIVOT_ROUNDS):
+    for nth, most in enumerate(PIVOTS_TAKEN):
         if not tested.filter("linked").isEmpty():
             labels = connected_components(tested.filter("linked"))
-        # At first the set with the fewest n-grams of its own, which is the likeliest origin of copies; then another.
-        rows, pivots = _open_tokens(tokens, labels, F.xxhash64("node", F.lit(nth)) if nth else F.col("own"))
+        # At first the set with the fewest n-grams of its own, which is the likeliest origin of copies; then any.
+        rows, pivots = _open_tokens(tokens, labels, F.xxhash64("node", "token", F.lit(nth)) if nth else F.col("own"))
         if pivots.isEmpty():
             break
-        offered = pivots.select("token", "pivot.first", "pivot.own", "pivot.n", "pivot.node", "pivot.comp").alias("p")
+        offered = pivots.select("token", "pivot.*").alias("p")
         met = rows.alias("x").join(offered, F.col("x.token") == F.col("p.token"))
         met = met.filter((F.col("x.comp") != F.col("p.comp")) & _possible("x", "p", percent))
-        taken = met.groupBy(F.col("x.node").alias("x")).agg(F.min(F.struct("p.first", "p.own", "p.n", "p.node")).alias("p"))
+        choice = F.struct((F.xxhash64("x.node", "p.node") if nth else F.col("p.first")).alias("first"), "p.n", "p.node")
+        # No more than the n-grams of a prefix; the sets not taken are met again in the last step.
+        best = F.slice(F.sort_array(F.collect_set(choice)), 1, most)
+        taken = met.groupBy(F.col("x.node").alias("x")).agg(best.alias("best")).select("x", F.explode("best").alias("p"))
         pairs = taken.select(F.least("x", "p.node").alias("a"), F.greatest("x", "p.node").alias("b")).distinct()
         tested = cut_lineage(tested.unionByName(_verified(pairs.join(tested, ["a", "b"], "left_anti"), classes, percent)), "tested")
     if not tested.filter("linked").isEmpty():
@@ -234,8 +254,9 @@ def _open_only(tokens: DataFrame, members: DataFrame, labels: DataFrame | None)
 def _expanded(tokens: DataFrame, members: DataFrame, only: DataFrame | None) -> DataFrame:
     """Token rows of all members of the groups, of the given tokens only."""
     kept = tokens if only is None else tokens.join(only, "token")
-    others = kept.join(members.select("node", "member").filter("node <> member"), "node")
-    return kept.select("token", "node", "n", "own").unionByName(others.select("token", F.col("member").alias("node"), "n", "own"))
+    others = kept.join(members, "node")
+    columns = ["token", "node", "n", "own", "early"]
+    return kept.select(columns).unionByName(others.drop("node").withColumnRenamed("member", "node").select(columns))
 
 
 def similar_documents(
