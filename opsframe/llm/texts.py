@@ -21,6 +21,9 @@ SLICE_BYTES = 4 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: All of ASCII but letters and digits, for words without punctuation.
+MARKS = np.ones(256, dtype=bool)
+MARKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,9 +92,9 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, T
         at = end
 
 
-def words(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(texts: Texts, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and for each text where its words begin in these."""
-    inside = ~SPACE[texts.data]
+    inside = ~between[texts.data]
     size = len(inside)
     before = np.zeros(size + 1, bool)
     before[1:] = inside
