@@ -132,22 +132,21 @@ def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether two sets that share an n-gram can reach the threshold by it.
+    """Whether two sets that share an n-gram can reach the threshold, if it is the first that they share.
 
-    Their sizes and numbers of n-grams of their own must allow it, and the n-gram must be among the first ones, as
-    ``early`` has it, of the smaller set: two similar sets share one there.
+    They need ``percent / (100 + percent)`` of their sizes in common, so not too many n-grams may come before the
+    first one, in either set, and their sizes without the n-grams of their own must suffice.
     """
-    common = F.least(F.col(f"{a}.n") - F.col(f"{a}.own"), F.col(f"{b}.n") - F.col(f"{b}.own"))
-    smaller = F.struct(f"{a}.n", f"{a}.node") < F.struct(f"{b}.n", f"{b}.node")
-    early = F.when(smaller, F.col(f"{a}.early")).otherwise(F.col(f"{b}.early"))
-    return early & (100 * common >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - common))
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    common = F.least(n - F.col(f"{a}.own"), m - F.col(f"{b}.own"))
+    behind = F.least(n - F.col(f"{a}.pos"), m - F.col(f"{b}.pos"))
+    return (percent * (n + m) <= (100 + percent) * behind) & (percent * (n + m) <= (100 + percent) * common)
 
 
-def _tokens(groups: DataFrame, percent: int) -> DataFrame:
-    """A row for each n-gram of each group's prefix; ``early`` if it is in the prefix for sets of at least its size."""
-    kept = F.ceil(2 * percent * F.col("n") / F.lit(100 + percent) - F.lit(1e-9))
-    each = groups.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "own")
-    return each.select("token", "node", "n", "own", (F.col("pos") < F.col("n") - kept + 1 - F.col("own")).alias("early"))
+def _tokens(groups: DataFrame) -> DataFrame:
+    """A row for each n-gram of each group's prefix; ``pos`` counts the n-grams of the set before it."""
+    each = groups.select(F.posexplode("prefix").alias("at", "token"), "node", "n", "own")
+    return each.select("token", "node", "n", "own", (F.col("own") + F.col("at")).alias("pos"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -184,7 +183,7 @@ def _component(rows: DataFrame, labels: DataFrame | None, node: str) -> DataFram
 def _open_tokens(tokens: DataFrame, labels: DataFrame | None, first: Column) -> tuple[DataFrame, DataFrame]:
     """The tokens whose groups lie in several components, and these tokens with their pivots, smallest by ``first``."""
     rows = cut_lineage(_component(tokens, labels, "node"), "tokens")
-    pivot = F.min(F.struct(first.alias("first"), "own", "n", "node", "comp", "early")).alias("pivot")
+    pivot = F.min(F.struct(first.alias("first"), "own", "n", "node", "comp", "pos")).alias("pivot")
     per_token = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), pivot)
     return rows, cut_lineage(per_token.filter("low <> high").select("token", "pivot"), "pivots")
 
@@ -205,7 +204,7 @@ def similar_links(classes: DataFrame, percent: int) -> DataFrame | None:
     found = others.join(tested.select(F.col("b").alias("member"), "linked"), "member")
     members = cut_lineage(found.filter("linked").select("node", "member"), "members")
     alone = found.filter("not linked").select("n", "own", "prefix", F.col("member").alias("node"))
-    tokens = cut_lineage(_tokens(grouped.select("n", "own", "prefix", "node").unionByName(alone), percent), "tokens")
+    tokens = cut_lineage(_tokens(grouped.select("n", "own", "prefix", "node").unionByName(alone)), "tokens")
     labels = None
     for nth, most in enumerate(PIVOTS_TAKEN):
         if not tested.filter("linked").isEmpty():
@@ -255,7 +254,7 @@ def _expanded(tokens: DataFrame, members: DataFrame, only: DataFrame | None) ->
     """Token rows of all members of the groups, of the given tokens only."""
     kept = tokens if only is None else tokens.join(only, "token")
     others = kept.join(members, "node")
-    columns = ["token", "node", "n", "own", "early"]
+    columns = ["token", "node", "n", "own", "pos"]
     return kept.select(columns).unionByName(others.drop("node").withColumnRenamed("member", "node").select(columns))
 
 
