@@ -15,6 +15,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,7 +104,11 @@ def distinct_pieces(docs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for _, part in texts.slices(batch, "text"):
                 starts, ends, _ = pieces(part)
-                keys, first = np.unique(texts.hashes(part.data, starts, ends), return_index=True)
+                codes, keys = pd.factorize(texts.hashes(part.data, starts, ends))
+                first = np.empty(len(keys), np.int64)
+                first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+                order = np.argsort(keys)
+                keys, first = keys[order], first[order]
                 at = np.searchsorted(seen, keys)
                 known = (at < len(seen)) & (seen[np.minimum(at, max(len(seen) - 1, 0))] == keys) if len(seen) else np.zeros(len(keys), bool)
                 new = np.flatnonzero(~known)
@@ -126,14 +131,17 @@ def _joined(*arrays: Column) -> Column:
     return F.flatten(F.array(*arrays))
 
 
-def rank_lookup(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Column], Column]:
-    """The rank of hexadecimal bytes, or null, by a literal: maps in an array, chosen by a hash of the bytes."""
+def rank_maps(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The literal ranks of hexadecimal bytes: maps in an array, chosen by a hash of the bytes."""
     named = spark.createDataFrame([(token.hex().upper(), rank) for token, rank in ranks.items()], "token string, rank int")
     dealt: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
-    for row in named.select("token", "rank", F.pmod(F.hash("token"), F.lit(RANK_MAPS)).alias("at")).collect():
+    for row in named.select("token", "rank", _rank_map(F.col("token")).alias("at")).collect():
         dealt[row["at"]][row["token"]] = row["rank"]
-    literal = F.from_json(F.lit(json.dumps(dealt)), "array<map<string,int>>")
-    return lambda token: F.try_element_at(F.get(literal, F.pmod(F.hash(token), F.lit(RANK_MAPS))), token)
+    return F.from_json(F.lit(json.dumps(dealt, separators=(",", ":"))), "array<map<string,int>>")
+
+
+def _rank_map(token: Column) -> Column:
+    return F.pmod(F.hash(token), F.lit(RANK_MAPS))
 
 
 def fold_merges(word: Column, rank: Callable[[Column], Column]) -> Column:
@@ -206,10 +214,15 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def encode_pieces(found: DataFrame, pattern: str, ranks: dict[bytes, int]) -> DataFrame:
     """``shard, piece, words, codes``: ids of the short words of each piece; those of long words are null."""
-    rank = rank_lookup(found.sparkSession, ranks)
     words = F.regexp_extract_all("piece", F.lit(f"(?U){pattern}"), F.lit(0))
     short = lambda w: F.octet_length(w) <= FOLD_BYTES
-    codes = F.transform("words", lambda w: F.when(short(w), _let(F.hex(w), lambda h: fold_merges(h, rank))))
+
+    def encoded(maps: Column) -> Column:
+        rank = lambda token: F.try_element_at(F.get(maps, _rank_map(token)), token)
+        return F.transform("words", lambda w: F.when(short(w), _let(F.hex(w), lambda h: fold_merges(h, rank))))
+
+    # The literal stands in the plan once, whatever it is used for.
+    codes = _let(rank_maps(found.sparkSession, ranks), encoded)
     return found.withColumn("words", words).select(
         "shard", "piece", F.filter("words", lambda w: ~short(w)).alias("long"), codes.alias("codes")
     )
@@ -317,9 +330,11 @@ def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], doc_id: str =
         for batch in batches:
             for some, part in texts.slices(batch, "text"):
                 starts, ends, bounds = pieces(part)
-                keys, back = np.unique(texts.hashes(part.data, starts, ends), return_inverse=True)
-                sizes, ids = codes.of(keys)
-                firsts = np.cumsum(sizes) - sizes
+                back, keys = pd.factorize(texts.hashes(part.data, starts, ends))
+                order = np.argsort(keys)
+                found, ids = codes.of(keys[order])
+                sizes, firsts = np.empty_like(found), np.empty_like(found)
+                sizes[order], firsts[order] = found, np.cumsum(found) - found
                 flat = gather(ids, firsts[back], sizes[back])
                 counts = texts.sums(sizes[back], bounds)
                 cuts = np.concatenate([[0], np.cumsum(counts)])
