@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsframe.llm.kneser_ney import language_scores
 from opsframe.llm.quality_lm import perplexity_quality
 from opsframe.llm.registry import query, table
 
@@ -18,3 +19,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+
+
+@query()
+def op5_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
