@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from opsframe.llm import bpe_queries, chat_queries, jaccard_queries, leak_queries, line_queries, lm_queries, rule_queries, warc_queries  # noqa: F401
+from opsframe.llm import bpe_queries, chat_queries, jaccard_queries, leak_queries, line_queries, lm_queries, pii_queries, rule_queries, warc_queries  # noqa: F401
 from opsframe.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

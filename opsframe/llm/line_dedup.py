@@ -24,7 +24,8 @@ def line_key(line: str | Column) -> Column:
     return F.translate(F.btrim(line, F.lit(_BLANK)), _UPPER, _UPPER.lower())
 
 
-def _text_hash(text: str | Column) -> Column:
+def text_hash(text: str | Column) -> Column:
+    """Tells rows of one id apart."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
@@ -34,7 +35,7 @@ def line_hashes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     Two 64-bit hashes stand for the key.  ``text_hash`` tells rows of one ``doc_id`` apart.
     """
     lines = docs.select(
-        F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("text_hash"), split_lines(F.col(text)).alias("lines")
+        F.col(doc_id).alias("doc_id"), text_hash(F.col(text)).alias("text_hash"), split_lines(F.col(text)).alias("lines")
     )
     each = lines.select("doc_id", "text_hash", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
     keyed = each.withColumn("key", line_key(F.col("line"))).filter(F.length("key") >= min_chars)
@@ -119,7 +120,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", t
     )
     rows = docs.select(F.struct("*").alias("_row"))
     same = F.col(f"_row.{doc_id}").eqNullSafe(F.col("_mark_doc"))
-    joined = rows.join(marks, same & (_text_hash(F.col(f"_row.{text}")) == F.col("_mark_text")), "left")
+    joined = rows.join(marks, same & (text_hash(F.col(f"_row.{text}")) == F.col("_mark_text")), "left")
     mask = F.flatten(F.transform("keep_runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
     lines = split_lines(F.col(f"_row.{text}"))
     masked = joined.withColumn("_mask", mask)
