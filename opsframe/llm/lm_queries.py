@@ -18,7 +18,7 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    return perplexity_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir)).drop("text_hash")
 
 
 @query()
