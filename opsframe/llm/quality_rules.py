@@ -143,7 +143,7 @@ RULES = [
 class Model:
     """Share of good documents, and the probability of a vote against and for by class (bad, good) and rule.
 
-    That a rule abstains says nothing.
+    That a rule abstains says nothing, so a document without votes has the share of good documents as its quality.
     """
 
     prior: float
@@ -163,8 +163,10 @@ class Model:
 _KINDS = BAD + GOOD
 
 
-def fit(patterns: list[str], counts: list[int], least_right: float = 0.8, rounds: int = 200) -> Model:
-    """Expectation-maximisation over patterns of votes.
+def fit(patterns: list[str], counts: list[int], prior: float = 0.85, least_right: float = 0.8, rounds: int = 200) -> Model:
+    """Expectation-maximisation over patterns of votes, which estimates how rules vote on good and bad documents.
+
+    The share of good documents is given: where few rules vote, votes alone cannot tell it.
 
     Rules are taken to be right in ``least_right`` of their votes against and for: of the votes that a step ascribes
     to the wrong class, what exceeds the rest is ascribed to the right one.  Without this bound the classes would
@@ -173,7 +175,7 @@ def fit(patterns: list[str], counts: list[int], least_right: float = 0.8, rounds
     """
     n_rules = len(patterns[0]) if patterns else 0
     start = np.array([[0.4, 0.4], [0.02, 0.7]])
-    model = Model(0.8, np.repeat(start[:, None, :], n_rules, axis=1))
+    model = Model(prior, np.repeat(start[:, None, :], n_rules, axis=1))
     if not patterns:
         return model
     seen = np.array([[[vote == kind for kind in _KINDS] for vote in pattern] for pattern in patterns], float)
@@ -188,8 +190,7 @@ def fit(patterns: list[str], counts: list[int], least_right: float = 0.8, rounds
             votes[1 - right, :, kind], votes[right, :, kind] = wrong, total - wrong
         sizes = by_class.sum(axis=1)
         votes = np.minimum((votes + 1) / (sizes[:, None, None] + 2), 1)
-        prior = float((sizes[1] + 1) / (weights.sum() + 2))
-        moved = max(abs(prior - model.prior), float(np.abs(votes - model.votes).max()))
+        moved = float(np.abs(votes - model.votes).max())
         model = Model(prior, votes)
         if moved < 1e-9:
             break
@@ -197,11 +198,16 @@ def fit(patterns: list[str], counts: list[int], least_right: float = 0.8, rounds
 
 
 def rule_quality(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: list[Rule] | None = None, threshold: float = 0.5
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    rules: list[Rule] | None = None,
+    threshold: float = 0.5,
+    prior: float = 0.85,
 ) -> DataFrame:
     """``doc_id``, the counts, ``base_failed``, ``votes``, ``quality`` and ``kept`` for every row.
 
-    ``quality`` is the posterior probability of a good document; a document is kept if it reaches ``threshold`` and
+    ``quality`` is the posterior probability of a good document, of which there are taken to be ``prior``; a document is kept if it reaches ``threshold`` and
     does not fail the base rule: fewer than ten words, or more than a fifth of its words in runs of five that occur
     twice or more.  Null and empty texts have no words and fail.  Rows that repeat are judged each on their own.
     At most twelve rules, so that patterns fit the driver.
@@ -216,7 +222,7 @@ def rule_quality(
     voted = cut_lineage(voted, "rule-votes")
     patterns = sorted((r["votes"], r["count"]) for r in voted.groupBy("votes").count().collect())
     names = [p for p, _ in patterns]
-    model = fit(names, [c for _, c in patterns])
+    model = fit(names, [c for _, c in patterns], prior)
     judged = [(p, float(q)) for p, q in zip(names, model.posterior(names))]
     table = docs.sparkSession.createDataFrame(judged, "votes string, quality double")
     return voted.join(F.broadcast(table), "votes").withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
