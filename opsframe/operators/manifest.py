@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Layout text, missing project, output folder, run archive address.
+# Layout text, missing project, output folder, folder of the run archives and their ending.
 PAIRED = "PAIRED"
 MISSING_PROJECT = "nan"
 UNASSIGNED = "unassigned"
-RUN_URL = "ftp://ftp-trace.ncbi.nih.gov/sra/sra-instant/reads/ByRun/sra/{p1}/{p2}/{p3}/{run}.sra"
+ARCHIVES = "ftp://ftp-trace.ncbi.nih.gov/sra/sra-instant/reads/ByRun/sra"
+ARCHIVE_SUFFIX = ".sra"
 # Characters that count as white space at the ends of a manifest line.
 BLANKS = " \t\n\r\x0b\x0c"
 
@@ -41,16 +42,17 @@ def manifest_derive(samples: DataFrame, output_dir: str = "") -> DataFrame:
     """
     project = F.when(F.col("project") != MISSING_PROJECT, F.col("project"))
     folder = F.concat(F.lit(output_dir + "experiments/"), F.coalesce(project, F.lit(UNASSIGNED)))
-    head, tail = RUN_URL.split("{p1}/{p2}/{p3}/{run}")
     run = F.col("run")
-    path = F.concat_ws("/", F.substring(run, 1, 3), F.substring(run, 1, 6), F.substring(run, 1, 10), run)
+    # Archives lie in folders named by the first three, six and ten characters of the run.
+    folders = [F.substring(run, 1, n) for n in (3, 6, 10)]
+    url = F.concat(F.concat_ws("/", F.lit(ARCHIVES), *folders, run), F.lit(ARCHIVE_SUFFIX))
     return samples.select(
         "run",
         project.alias("project"),
         "layout",
         F.coalesce(F.col("layout") == PAIRED, F.lit(False)).alias("paired"),
         folder.alias("output_dir"),
-        F.concat(F.lit(head), path, F.lit(tail)).alias("url"),
+        url.alias("url"),
     )
 
 

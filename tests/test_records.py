@@ -34,10 +34,10 @@ def lines_of(spark, text, file="f"):
 
 MANIFEST = (
     "# comment\n"
-    "SRR5119551\tPRJNA357964\tSINGLE\n"
+    "QRX7000012\tPROJ1\tSINGLE\n"
     "\n"
     " \t \n"
-    "  SRR512259\tPRJNA358250\tPAIRED \n"
+    "  QRX700345\tPROJ2\tPAIRED \n"
     " # not a comment\n"
     "ERR1\tnan\tPAIRED\r\n"
 )
@@ -46,7 +46,7 @@ MANIFEST = (
 def test_manifest(spark, tmp_path):
     rows = manifests.read_manifest(spark, put(f"{tmp_path}/m.tsv", MANIFEST))
     assert sorted((r.run, r.project, r.layout) for r in rows.collect() if r.project) == [
-        ("ERR1", "nan", "PAIRED"), ("SRR5119551", "PRJNA357964", "SINGLE"), ("SRR512259", "PRJNA358250", "PAIRED"),
+        ("ERR1", "nan", "PAIRED"), ("QRX7000012", "PROJ1", "SINGLE"), ("QRX700345", "PROJ2", "PAIRED"),
     ]
     # A comment sign after blanks is data, as is a line with too few fields.
     assert [r.run for r in rows.filter("project is null").collect()] == ["# not a comment"]
@@ -56,10 +56,10 @@ def test_derived_columns(spark, tmp_path):
     rows = manifests.read_manifest(spark, put(f"{tmp_path}/m.tsv", MANIFEST)).filter("project is not null")
     derived = {r.run: r for r in manifest.manifest_derive(rows, "out/").collect()}
     base = "ftp://ftp-trace.ncbi.nih.gov/sra/sra-instant/reads/ByRun/sra"
-    assert derived["SRR5119551"].url == f"{base}/SRR/SRR511/SRR5119551/SRR5119551.sra"
-    assert derived["SRR512259"].url == f"{base}/SRR/SRR512/SRR512259/SRR512259.sra"  # nine characters
-    assert [derived[r].paired for r in ("SRR5119551", "SRR512259")] == [False, True]
-    assert derived["SRR512259"].output_dir == "out/experiments/PRJNA358250"
+    assert derived["QRX7000012"].url == f"{base}/QRX/QRX700/QRX7000012/QRX7000012.sra"
+    assert derived["QRX700345"].url == f"{base}/QRX/QRX700/QRX700345/QRX700345.sra"  # nine characters
+    assert [derived[r].paired for r in ("QRX7000012", "QRX700345")] == [False, True]
+    assert derived["QRX700345"].output_dir == "out/experiments/PROJ2"
     assert (derived["ERR1"].project, derived["ERR1"].output_dir) == (None, "out/experiments/unassigned")
 
 
