@@ -12,7 +12,7 @@ from opsframe.storage import cut_lineage
 
 # Prices are added as decimals: the sums are exact, so they do not depend on
 # how rows were partitioned and may be subtracted from each other.
-PRICE = "decimal(18,8)"
+PRICE = "decimal(28,12)"
 # Places of a mark relative to the prices of the same time.
 BEFORE_PRICES, PRICES, AFTER_PRICES = 0, 1, 2
 
@@ -56,6 +56,7 @@ def price_scan(
 def price_totals_at(prices: DataFrame, marks: DataFrame, on: Sequence[str], bin_unit: str = "hour") -> DataFrame:
     """Sum and count of all prices up to each mark, per the columns ``on``.
 
+    Prices that are NULL or NaN are no prices; others are added to twelve places.
     ``marks`` has ``ts`` and ``side``; a mark on the side ``BEFORE_PRICES``
     leaves out the prices of its own time.  No mark meets a price row: prices
     are first reduced to one row per time, added up within a bin of time, and
@@ -64,7 +65,8 @@ def price_totals_at(prices: DataFrame, marks: DataFrame, on: Sequence[str], bin_
     written once and used twice, so the price history is scanned once.
     """
     keys = list(on)
-    ticks = prices.groupBy(*keys, "ts").agg(
+    known = prices.filter(F.col("price").isNotNull() & ~F.isnan(F.col("price").cast("double")))
+    ticks = known.groupBy(*keys, "ts").agg(
         F.sum(F.col("price").cast(PRICE)).alias("_sum"), F.count("price").alias("_n")
     )
     zero = F.lit(0).cast(ticks.schema["_sum"].dataType)

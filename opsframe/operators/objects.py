@@ -25,8 +25,6 @@ UPLOAD_TRIES = 3
 FILES_SUFFIX = "--files"
 JOBS_SUFFIX = "--jobs"
 LANE_MARK = "_L00"
-# URLs of one output line.  A longer run continues on a further line with the same id.
-URLS_PER_LINE = 10_000
 
 
 def object_listing(objects: DataFrame, prefix: str = "") -> DataFrame:
@@ -186,9 +184,12 @@ def collate_runs(
     return runs.filter(F.coalesce(F.col(id_column).cast("string"), F.lit("")) != "")
 
 
-def collate_lines(runs: DataFrame, id_column: str, url: str, *keep: str, per_line: int = URLS_PER_LINE) -> DataFrame:
-    """One line ``id,url1,url2,…`` per run, in pieces of at most ``per_line`` URLs."""
-    piece = int_div(F.col("run_place"), F.lit(per_line))
+def collate_lines(runs: DataFrame, id_column: str, url: str, *keep: str, per_line: int | None = None) -> DataFrame:
+    """One line ``id,url1,url2,…`` per run, or one for each ``per_line`` URLs of it if that is given.
+
+    A line holds its run whole; for runs too long for a line use the rows of ``collate_runs`` themselves.
+    """
+    piece = int_div(F.col("run_place"), F.lit(per_line)) if per_line else F.lit(0)
     urls = F.array_sort(F.collect_list(F.struct("run_place", F.col(url).cast("string").alias("url"))))
     return (
         runs.groupBy(*keep, "run", piece.alias("piece"), F.col(id_column).alias("id"))

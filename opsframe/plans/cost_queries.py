@@ -25,7 +25,7 @@ costs AS (
   SELECT l.*, coalesce(p.n, 0) AS prices, coalesce(p.total / p.n, 0) AS avg_price,
          date_diff('second', date_trunc('second', l.start), date_trunc('second', l.stop)) / 3600.0::DOUBLE AS hours
   FROM lifetimes l LEFT JOIN (
-    SELECT l.metric, l.id, count(*) AS n, sum(p.price::DECIMAL(18, 8))::DOUBLE AS total
+    SELECT l.metric, l.id, count(p.price) AS n, sum(p.price) AS total
     FROM lifetimes l JOIN prices p ON p.zone = l.zone AND p.ts BETWEEN l.start AND l.stop GROUP BY ALL
   ) p ON p.id = l.id AND p.metric IS NOT DISTINCT FROM l.metric)
 """

@@ -10,9 +10,6 @@ from opsframe.plans import tables as t
 from opsframe.plans.registry import query
 from opsframe.plans.reports import fleet_report
 
-DAYS = [f"2024-01-{day:02d}" for day in range(1, 32)]
-METRICS = ("click", "error", "purchase", "signup", "view")
-
 DAILY = """
 WITH grid AS (
   SELECT event_type AS metric, user_id AS id, date_trunc('day', ts)::TIMESTAMP AS ts, arg_min(value, event_id) AS value
@@ -46,12 +43,15 @@ def grid_dedup(spark, sf_dir):
     return grid(spark, sf_dir)
 
 
-@query(DAILY + "SELECT metric, id, " + ", ".join(
-    f"max(CASE WHEN ts = TIMESTAMP '{day}' THEN value END) AS \"{day}\"" for day in DAYS
-) + " FROM grid GROUP BY ALL")
+@query(DAILY + ", named AS (SELECT metric, id, strftime(ts, '%Y-%m-%d') AS day, value FROM grid)" + """
+PIVOT named ON day USING max(value) GROUP BY metric, id
+""")
 def grid_pivot(spark, sf_dir):
     by_day = grid(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd"))
-    return fleet.grid_pivot(by_day, DAYS)
+    # A column for each day that occurs.
+    days = sorted(row.ts for row in t.daily(t.points(spark, sf_dir)).filter("value is not null").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("ts")).distinct().collect())
+    return fleet.grid_pivot(by_day, days)
 
 
 @query(BAND + """
@@ -128,14 +128,18 @@ def distinct_ids(spark, sf_dir):
 @query("""
 SELECT u.id, m.metric, coalesce(v.mark, TIMESTAMP '2024-01-31' - INTERVAL '1800 seconds') AS start
 FROM (SELECT DISTINCT user_id AS id FROM events) u
-CROSS JOIN (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) m(metric)
-LEFT JOIN (SELECT user_id AS id, max(ts) AS mark FROM events WHERE event_type = 'view' GROUP BY ALL) v ON v.id = u.id
+CROSS JOIN (SELECT DISTINCT event_type AS metric FROM events) m
+LEFT JOIN (
+  SELECT user_id AS id, event_type AS metric, max(ts) AS mark FROM events WHERE value > 50 GROUP BY ALL
+) v ON v.id = u.id AND v.metric = m.metric
 """)
 def collection_plan(spark, sf_dir):
     points = t.points(spark, sf_dir)
-    marks = fleet.high_water(points.filter(F.col("metric") == "view"))
+    # What was collected so far: not every instance has every metric there.
+    marks = fleet.high_water(points.filter(F.col("value") > 50), "id", "metric")
+    metrics = sorted(row.metric for row in points.select("metric").distinct().collect())
     start = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz") - F.expr("interval 1800 seconds")
-    return fleet.collection_plan(inventory.distinct_ids(points), marks, METRICS, start)
+    return fleet.collection_plan(inventory.distinct_ids(points), marks, metrics, start)
 
 
 @query("""
@@ -247,6 +251,6 @@ def alarm_breach(spark, sf_dir):
     return hits.select("metric", "id", "ts", t.r("value"))
 
 
-@query("SELECT event_type AS metric, arg_min(event_id, ts) AS event_id FROM events GROUP BY ALL")
+@query("SELECT event_type AS metric, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
 def first_match(spark, sf_dir):
     return inventory.first_match(t.points(spark, sf_dir), "event_id", "ts", "metric")
