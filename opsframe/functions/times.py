@@ -46,8 +46,10 @@ def iso_to_time(text: Column) -> Column:
 
 
 def hours_between(start: Column, stop: Column) -> Column:
-    """Whole seconds from start to stop, in hours."""
+    """Whole seconds from start to stop, in hours; the zone of the session does not matter."""
     def seconds(ts: Column) -> Column:
-        return F.unix_seconds(F.date_trunc("second", ts).cast("timestamp"))
+        since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        parts = [F.extract(F.lit(unit), since) * size for unit, size in (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60))]
+        return sum(parts, F.floor(F.extract(F.lit("SECOND"), since))).cast("long")
 
     return (seconds(stop) - seconds(start)) / F.lit(3600.0)

@@ -46,8 +46,8 @@ def distinct_ids(df: DataFrame, column: str = "id") -> DataFrame:
 
 
 def first_match(df: DataFrame, value: str, order: str, *keys: str) -> DataFrame:
-    """The first value in the given order, overall or per key."""
-    return df.groupBy(*keys).agg(F.min_by(value, order).alias(value))
+    """The first value in the given order, overall or per key; of equal places the smallest value."""
+    return df.groupBy(*keys).agg(F.min_by(value, F.struct(order, value)).alias(value))
 
 
 def outer_union(*frames: DataFrame) -> DataFrame:

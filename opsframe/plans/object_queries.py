@@ -350,6 +350,14 @@ def inventory_flatten(spark, sf_dir):
     return instances(spark, sf_dir)
 
 
+@query(f"WITH {INSTANCES} SELECT id, placement FROM instances WHERE placement = 'zone7' AND id LIKE '%-worker'")
+def tag_filter(spark, sf_dir):
+    role = F.regexp_extract("id", "([a-z]+)$", 1)
+    tags = F.create_map(F.lit("cluster_name"), "placement", F.lit("Name"), role)
+    tagged = instances(spark, sf_dir).withColumn("tags", tags)
+    return inventory.tag_filter(tagged, cluster_name="zone7", Name="worker", owner=None).select("id", "placement")
+
+
 @query(f"WITH {INSTANCES} SELECT id FROM instances WHERE state = 'running'")
 def running_ids(spark, sf_dir):
     return inventory.running_ids(instances(spark, sf_dir))

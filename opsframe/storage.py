@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster a folder of one machine would lose data with that machine.
+    Only a session in one process without that setting gets a temporary folder:
+    on a cluster, one on a single machine included, executors do not share it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_dir()
 

@@ -52,8 +52,10 @@ TYPES = {
 
 
 def _cell(value) -> str:
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None:
         return "NULL"
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
     if isinstance(value, float):
         return repr(value + 0.0)
     return str(value)
