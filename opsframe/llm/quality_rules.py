@@ -164,14 +164,15 @@ _KINDS = BAD + GOOD
 
 
 def fit(patterns: list[str], counts: list[int], prior: float = 0.85, least_right: float = 0.8, rounds: int = 200) -> Model:
-    """Expectation-maximisation over patterns of votes, which estimates how rules vote on good and bad documents.
+    """Expectation-maximisation over patterns of votes: the share of good documents, and how rules vote on good and bad.
 
-    The share of good documents is given: where few rules vote, votes alone cannot tell it.
+    ``prior`` is the share that it starts from; each step estimates it again from all documents.  For the share, unlike
+    for a document, it counts that rules abstain: else it would sink wherever few rules vote.
 
     Rules are taken to be right in ``least_right`` of their votes against and for: of the votes that a step ascribes
     to the wrong class, what exceeds the rest is ascribed to the right one.  Without this bound the classes would
     part along whatever rules go together most, as faults of different kinds seldom meet in one text.
-    Every vote counts once more than it was seen.  It stops when no probability moves.
+    Every vote, and a document of either class, counts once more than it was seen.  It stops when no probability moves.
     """
     n_rules = len(patterns[0]) if patterns else 0
     start = np.array([[0.4, 0.4], [0.02, 0.7]])
@@ -190,8 +191,12 @@ def fit(patterns: list[str], counts: list[int], prior: float = 0.85, least_right
             votes[1 - right, :, kind], votes[right, :, kind] = wrong, total - wrong
         sizes = by_class.sum(axis=1)
         votes = np.minimum((votes + 1) / (sizes[:, None, None] + 2), 1)
-        moved = float(np.abs(votes - model.votes).max())
-        model = Model(prior, votes)
+        silent = np.log(np.maximum(1 - votes.sum(axis=2), 1e-6))
+        logs = np.einsum("prk,crk->cp", seen, np.log(votes)) + np.einsum("pr,cr->cp", 1 - seen.sum(axis=2), silent)
+        odds = np.log(model.prior / (1 - model.prior)) + logs[1] - logs[0]
+        share = float((weights @ (1 / (1 + np.exp(np.clip(-odds, -700, 700)))) + 1) / (weights.sum() + 2))
+        moved = max(abs(share - model.prior), float(np.abs(votes - model.votes).max()))
+        model = Model(share, votes)
         if moved < 1e-9:
             break
     return model
@@ -207,10 +212,10 @@ def rule_quality(
 ) -> DataFrame:
     """``doc_id``, the counts, ``base_failed``, ``votes``, ``quality`` and ``kept`` for every row.
 
-    ``quality`` is the posterior probability of a good document, of which there are taken to be ``prior``; a document is kept if it reaches ``threshold`` and
-    does not fail the base rule: fewer than ten words, or more than a fifth of its words in runs of five that occur
-    twice or more.  Null and empty texts have no words and fail.  Rows that repeat are judged each on their own.
-    At most twelve rules, so that patterns fit the driver.
+    ``quality`` is the posterior probability of a good document; their share is estimated from all rows, starting from
+    ``prior``.  A document is kept if it reaches ``threshold`` and does not fail the base rule: fewer than ten words, or
+    more than a fifth of its words in runs of five that occur twice or more.  Null and empty texts have no words and
+    fail.  Rows that repeat are judged each on their own.  At most twelve rules, so that patterns fit the driver.
     """
     rules = RULES if rules is None else rules
     if len(rules) > 12:

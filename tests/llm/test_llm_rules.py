@@ -74,3 +74,20 @@ def test_own_rules(spark):
     docs = spark.createDataFrame([(i, "word " * (20 + i) if i % 2 else "bad ! " * 10) for i in range(40)], "doc_id long, text string")
     rules = [q.Rule("marked", lambda: F.col("n_letters") < F.col("word_chars"), lambda: F.col("n_words") > 20)]
     assert {r.votes for r in q.rule_quality(docs, rules=rules).collect()} == {"-", "+"}
+
+
+def test_junk_of_half_the_documents_goes(spark):
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmno") for _ in range(5)) + "." * (i % 7 == 0) for i in range(n))
+    marked = lambda: " ".join(w + rng.choice(["", "", "$#&"]) for w in prose(60).split(" "))
+    numbers = lambda: " ".join(rng.choice(["##", "|", "%%"]) * 3 for _ in range(40))
+    few = lambda: " ".join(rng.choice(["aba", "cbd"]) for _ in range(60))
+    good = [prose(60) for _ in range(300)]
+    bad = [marked() for _ in range(90)] + [numbers() for _ in range(110)] + [few() for _ in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "doc_id long, text string")
+    got = q.rule_quality(docs).collect()
+    kept = {r.doc_id for r in got if r.kept}
+    assert len([i for i in kept if i < 300]) >= 295
+    assert not [i for i in kept if i >= 300]
+    counts = Counter(r.votes for r in got)
+    assert 0.45 < q.fit(sorted(counts), [counts[v] for v in sorted(counts)]).prior < 0.55
