@@ -18,7 +18,7 @@ from opsframe.llm.decontaminate import leaked_items
 from opsframe.llm.jaccard_join import similar_documents
 from opsframe.llm.leak_queries import benchmark_items
 from opsframe.llm.line_dedup import apply_bitmaps, keep_bitmaps, text_hash
-from opsframe.llm.lm_queries import trusted_ids
+from opsframe.llm.lm_queries import low_ids, trusted_ids
 from opsframe.llm.quality_lm import perplexity_quality
 from opsframe.storage import cut_lineage
 
@@ -32,8 +32,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity under trusted text is not above their language's threshold."""
-    judged = perplexity_quality(docs, trusted_ids(spark, sf_dir))
+    """Documents that are neither stranger nor more repetitive than their language's thresholds under trusted text."""
+    judged = perplexity_quality(docs, trusted_ids(spark, sf_dir), low=low_ids(spark, sf_dir))
     return _without(docs, judged.filter("not kept"))
 
 

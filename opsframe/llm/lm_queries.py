@@ -10,6 +10,12 @@ from opsframe.llm.quality_lm import perplexity_quality
 from opsframe.llm.registry import query, table
 
 
+def low_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that every label calls low-quality."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    return labels.filter("q = 0").select("doc_id")
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that every label calls good and none toxic."""
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
@@ -18,7 +24,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir)).drop("text_hash")
+    docs = table(spark, sf_dir, "documents")
+    return perplexity_quality(docs, trusted_ids(spark, sf_dir), low=low_ids(spark, sf_dir)).drop("text_hash")
 
 
 @query()

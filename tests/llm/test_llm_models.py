@@ -130,3 +130,18 @@ def test_junk_is_told_from_text(spark):
     none = q.perplexity_quality(docs, trusted.filter("doc_id < 0")).collect()
     assert all(r.kept and r.threshold is None for r in none)
     assert q.perplexity_quality(docs.filter("doc_id < 0"), trusted).count() == 0
+
+
+def test_repeated_ordinary_words_are_junk(spark):
+    rng = random.Random(6)
+    syllables = ["the", "an", "er", "ing", "ha", "to", "or", "is"]
+    prose = lambda n: " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    rows = [(i, prose(rng.randrange(20, 80)), "en") for i in range(300)]
+    repeats = [(1000 + i, " ".join([prose(1)] * rng.randrange(60, 90)), "en") for i in range(60)]
+    docs = spark.createDataFrame(rows + repeats, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(200)], "doc_id long")
+    low = spark.createDataFrame([(1000 + i,) for i in range(30)] + [(5,), (None,), (99_999,)], "doc_id long")
+    for known in (None, low, low.filter("doc_id < 0")):
+        kept = {r.doc_id for r in q.perplexity_quality(docs, trusted, low=known).collect() if r.kept}
+        assert not [i for i in kept if i >= 1000]
+        assert len([i for i in kept if i < 300]) >= 290
