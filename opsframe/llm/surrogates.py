@@ -39,8 +39,8 @@ _PATTERNS = [
     r"(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     r"(?<![\w-])(?:\d{4}[ -]){3}\d{1,7}(?!\w)",
+    r"(?<!\w)[0-9A-Fa-f]{32,}+(?!\w)",
     r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    r"(?<!\w)[0-9a-f]{32,128}+(?!\w)",
     r"(?<!\w)\d{13,19}+(?!\w)",
     rf"(?<!\w)(?:{_TITLE})\.?\h+{_NAME}(?:\h+{_NAME}){{0,2}}",
 ]
@@ -48,7 +48,7 @@ _PATTERNS = [
 ENTITY = "(?U)" + "|".join(f"(?:{p})" for p in _PATTERNS)
 
 #: What every entity has; a cheap look that spares most texts the patterns above.
-_SIGN = "[0-9@]|[a-f]{32}|" + "|".join(rf"{t}[.\h]" for t in sorted(t for kind in TITLES.values() for t in kind))
+_SIGN = "[0-9@]|[A-Fa-f]{32}|" + "|".join(rf"{t}[.\h]" for t in sorted(t for kind in TITLES.values() for t in kind))
 
 MAX_ROUNDS = 100
 _ENTITY_TYPE = "array<struct<kind:string,norm:string>>"
@@ -67,7 +67,7 @@ def _kind(match: Column) -> Column:
         .when(match.rlike(r"^[+(]"), "phone")
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "person number")
         .when(match.rlike(r"^[0-9 -]+$") & (F.length(F.regexp_replace(match, r"\D", "")) <= 26), "card")
-        .when(match.rlike(r"^[0-9a-f]+$"), "secret")
+        .when(match.rlike(r"^[0-9A-Fa-f]{32,}$"), "secret")
         .when(match.rlike(r"^[A-Z]{2}\d{2}"), "account")
         .otherwise("name")
     )
@@ -204,7 +204,9 @@ def replacement(key: Column, match: Column, attempts: Column) -> Column:
 
     def replaced(entity: Column) -> Column:
         as_is = entity["kind"].isin("email", "address")
-        return let(made(entity), lambda new: F.when(as_is, new).otherwise(_shaped(match, new)))
+        # The digits of a secret may be letters in its surrogate, so it has the case of the whole.
+        lower, upper = ((entity["kind"] == "secret") & ~match.rlike(other) for other in ("[A-F]", "[a-f]"))
+        return let(made(entity), lambda new: F.when(as_is | lower, new).when(upper, F.upper(new)).otherwise(_shaped(match, new)))
 
     def of(kind: Column) -> Column:
         entity = F.struct(kind.alias("kind"), _norm(kind, match).alias("norm"))

@@ -70,3 +70,16 @@ def test_no_rows(spark):
 def test_plan_has_no_python(spark):
     frame = spark.createDataFrame([(1, "a@b.cc")], "doc_id long, text string")
     assert not re.search("Python|Pandas|Arrow", s.replace_entities(frame, "k")._jdf.queryExecution().executedPlan().toString())
+
+
+def test_secrets_of_either_case_and_any_length(spark):
+    digits = "9233A8EC5D0B41F7A6E2C39847D1F05B6A89329B"
+    secrets = [digits, digits.lower(), digits[:20] + digits[20:].lower(), "AB12" * 50, "ABCDEF" * 6, "DE12" + "89AB" * 7]
+    rows = [(i, f'TOKEN = "{s}"') for i, s in enumerate([*secrets, "1F" * 15 + "0"])]
+    got = {r.doc_id: r for r in replaced(spark, rows)}
+    new = [re.fullmatch('TOKEN = "([0-9A-Fa-f]+)"', got[i].text)[1] for i in range(len(secrets))]
+    for old, made in zip(secrets, new):
+        assert old.lower() != made.lower() and len(old) == len(made)
+    assert new[0] == new[0].upper() and new[1] == new[1].lower()
+    assert len({x.lower() for x in new[:3]}) == 1 and len({x.lower() for x in new}) == 4
+    assert got[len(secrets)].n_entities == 0
