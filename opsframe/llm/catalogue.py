@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from opsframe.llm import bpe_queries, centroid_queries, chat_queries, jaccard_queries, leak_queries, line_queries, lm_queries, pii_queries, rule_queries, secret_queries, warc_queries  # noqa: F401
+from opsframe.llm import alignment_queries, bpe_queries, centroid_queries, chat_queries, jaccard_queries, leak_queries, line_queries, lm_queries, pii_queries, rule_queries, secret_queries, warc_queries  # noqa: F401
 from opsframe.llm.registry import ORACLES, QUERIES
 
 import corpus_pipeline
