@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsframe.llm.columns import let
 from opsframe.storage import cut_lineage
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -110,24 +111,23 @@ def keep_bitmaps(
     )
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with the kept lines as text; a text that loses no line stays as it is, null included.
 
-    Every column and row of ``docs`` stays.  Two columns are added: ``lines_before`` and ``lines_dropped``.
+    Every column and row of ``docs`` stays.  With ``counts`` two columns are added: ``lines_before`` and
+    ``lines_dropped``, which ``docs`` may not have.
     """
     marks = bitmaps.select(
         F.col("doc_id").alias("_mark_doc"), F.col("text_hash").alias("_mark_text"), "n_dropped", "keep_runs"
     )
     rows = docs.select(F.struct("*").alias("_row"))
-    same = F.col(f"_row.{doc_id}").eqNullSafe(F.col("_mark_doc"))
-    joined = rows.join(marks, same & (text_hash(F.col(f"_row.{text}")) == F.col("_mark_text")), "left")
+    of_row = lambda name: F.col(f"_row.`{name}`")
+    same = of_row(doc_id).eqNullSafe(F.col("_mark_doc"))
+    joined = rows.join(marks, same & (text_hash(of_row(text)) == F.col("_mark_text")), "left")
     mask = F.flatten(F.transform("keep_runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
-    lines = split_lines(F.col(f"_row.{text}"))
-    masked = joined.withColumn("_mask", mask)
-    kept = F.array_join(F.filter(lines, lambda _, i: F.get(F.col("_mask"), i)), "\n")
-    new = F.when(F.col("keep_runs").isNull(), F.col(f"_row.{text}")).otherwise(kept)
-    return masked.select(
-        *(new.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns),
-        F.size(lines).cast("long").alias("lines_before"),
-        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("lines_dropped"),
-    )
+    lines = split_lines(of_row(text))
+    # The mask is bound: as a plain column it would be worked out again for each line.
+    kept = let(mask, lambda bits: F.array_join(F.filter(lines, lambda _, i: F.get(bits, i)), "\n"))
+    new = F.when(F.col("keep_runs").isNull(), of_row(text)).otherwise(kept)
+    added = [F.size(lines).cast("long").alias("lines_before"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("lines_dropped")]
+    return joined.select(*(new.alias(c) if c == text else of_row(c).alias(c) for c in docs.columns), *(added if counts else []))

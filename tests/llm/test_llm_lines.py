@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -80,3 +81,13 @@ def test_plan_has_no_python(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = apply_bitmaps(docs, keep_bitmaps(docs))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_many_lines_and_columns_of_any_name(spark):
+    rows = [(i, "\n".join(["shared", *(f"own {i} {k}" for k in range(200_000 if i == 1 else 3)), "shared"]), 1, 2.0, "x") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lines_before int, `a.b` double, _mask string")
+    began = time.time()
+    got = apply_bitmaps(docs, keep_bitmaps(docs, min_docs=3), counts=False)
+    assert got.columns == docs.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {i: t[len("shared\n") : -len("\nshared")] for i, t, *_ in rows}
+    assert time.time() - began < 60
