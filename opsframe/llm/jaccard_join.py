@@ -46,7 +46,7 @@ def shingle_sets(batch: texts.Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
         size = bounds[i + 1] - bounds[i]
         if not len(found) and size:
             found, _ = texts.windows(keys[bounds[i] : bounds[i + 1]], np.array([0, size]), int(size))
-        sets.append(np.unique(found))
+        sets.append(texts.distinct(found))
     return np.concatenate(sets) if sets else rolled, np.cumsum([0, *map(len, sets)])
 
 
@@ -275,8 +275,9 @@ def similar_documents(
     sets = document_sets(rows, n, percent)
     some = sets.filter(F.col("sig").isNotNull())
     firsts = cut_lineage(some.groupBy("sig").agg(F.min("doc_id").alias("node")), "classes")
-    whole = some.join(firsts, (some["sig"] == firsts["sig"]) & (some["doc_id"] == firsts["node"]))
-    classes = whole.select("node", F.col("n_shingles").alias("n"), "own", "prefix", "members")
+    # Rows that repeat the first document of a class say nothing new.
+    whole = some.join(firsts.withColumnRenamed("node", "doc_id"), ["sig", "doc_id"]).dropDuplicates(["sig", "doc_id"])
+    classes = whole.withColumnRenamed("doc_id", "node").select("node", F.col("n_shingles").alias("n"), "own", "prefix", "members")
     classes = cut_lineage(classes, "class-sets")
     labels = similar_links(classes, percent)
     named = cut_lineage(_component(firsts, labels, "node").select("sig", "comp"), "class-labels")

@@ -73,3 +73,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert {label[i] for i in range(20, 61)} == {20}
     assert {label[i] for i in range(100, 130)} == {100}
     assert 5 not in label
+
+
+def test_rows_that_repeat_many_times(spark):
+    near = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, near), (2, near + " more")] * 4000 + [(3, "something else that is long enough")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = similar_documents(docs).groupBy("doc_id", "component_id").count().collect()
+    assert {(r.doc_id, r.component_id, r["count"]) for r in got} == {(1, 1, 4000), (2, 1, 4000), (3, 3, 50)}
+
+
+def test_mirrored_words_are_not_alike(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    mirror = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, mirror), (3, f"{word} {mirror}"), (4, f"{mirror} {word}")], "doc_id long, text string")
+    assert all(r.doc_id == r.component_id for r in similar_documents(docs).collect())
