@@ -94,7 +94,7 @@ class Model:
 class Words:
     """Numbers and figures of training words by hash."""
 
-    KINDS = {"count": "<u4", "once": "<u4", "twice": "<u4", "more": "<u4", "follows": "<u4"}
+    KINDS = {"count": "<u8", "once": "<u8", "twice": "<u8", "more": "<u8", "follows": "<u8"}
 
     def __init__(self, uri: str, firsts: tuple[int, ...]):
         self.uri, self.firsts = uri, firsts
@@ -163,7 +163,7 @@ def train(docs: DataFrame) -> Model:
 
     def keep_words(keys, counts):
         marks = int(counts[keys == BEGIN].sum())
-        files = [("keys", keys), ("count", counts.astype("<u4"))]
+        files = [("keys", keys), ("count", counts.astype("<u8"))]
         return files, {"n_keys": len(keys), "total": int(counts.sum()) - marks, "marks": int(marks > 0)}
 
     words = sorted_counts.merge_shards(
@@ -172,6 +172,9 @@ def train(docs: DataFrame) -> Model:
     sizes = {r.shard: r.n_keys for r in words}
     firsts = tuple(int(x) for x in np.concatenate([[0], np.cumsum([sizes.get(i, 0) for i in range(shards)])]))
 
+    if firsts[-1] >> 32:
+        raise ValueError(f"{firsts[-1]} distinct words do not fit the 32 bits that a pair has for each")
+
     def count_pairs(batches):
         vocabulary = Words(uri, firsts)
 
@@ -192,7 +195,7 @@ def train(docs: DataFrame) -> Model:
             return
         keys, counts = merged
         sorted_counts.write_file(uri, f"{shard:06d}.pairs", [keys])
-        sorted_counts.write_file(uri, f"{shard:06d}.pair_counts", [counts.astype("<u4")])
+        sorted_counts.write_file(uri, f"{shard:06d}.pair_counts", [counts.astype("<u8")])
         both = unmix(keys)
         first, second = both >> _U64(32), both & _LOW
         seen = [(counts == k).astype(_U64) for k in (1, 2, 3, 4)]
@@ -210,7 +213,7 @@ def train(docs: DataFrame) -> Model:
             return
         size = firsts[shard + 1] - firsts[shard]
         place = lambda keys: (keys - _U64(firsts[shard])).astype(np.int64)
-        arrays = {k: np.zeros(size, "<u4") for k in ("once", "twice", "more", "follows")}
+        arrays = {k: np.zeros(size, "<u8") for k in ("once", "twice", "more", "follows")}
         seen = [0] * 5
         if begun is not None:
             at = place(begun[0])
@@ -260,7 +263,7 @@ class Scorer:
         for shard in np.flatnonzero(np.diff(cuts)):
             if shard not in self.opened:
                 self.opened[shard] = tuple(
-                    sorted_counts.map_file(self.model.uri, f"{shard:06d}.{k}", t) for k, t in (("pairs", "<u8"), ("pair_counts", "<u4"))
+                    sorted_counts.map_file(self.model.uri, f"{shard:06d}.{k}", t) for k, t in (("pairs", "<u8"), ("pair_counts", "<u8"))
                 )
             there, counts = self.opened[shard]
             part = slice(cuts[shard], cuts[shard + 1])
