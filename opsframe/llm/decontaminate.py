@@ -53,7 +53,7 @@ def _keys(part: texts.Texts) -> tuple[np.ndarray, np.ndarray]:
 def _runs(keys: np.ndarray, n: int) -> np.ndarray:
     """Distinct runs of ``n`` words, or the only run of fewer."""
     n = min(n, len(keys))
-    return np.unique(texts.windows(keys, np.array([0, len(keys)]), n)[0]) if n else keys
+    return texts.distinct(texts.windows(keys, np.array([0, len(keys)]), n)[0]) if n else keys
 
 
 def item_terms(items: DataFrame, item_id: str, question: str, answer: str) -> DataFrame:
@@ -228,7 +228,7 @@ class Block:
             own[np.searchsorted(self.firsts, mine, "right") - 1] = self.impacts[mine]
             total = np.concatenate([[0.0], np.cumsum(own[term])])
             chosen.append(np.flatnonzero(total[spans.end] - total[spans.first] >= threshold))
-        return np.unique(np.concatenate(chosen))
+        return texts.distinct(np.concatenate(chosen))
 
     def search(self, query: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """All items whose impacts for the distinct terms add up to the threshold, by block-max WAND.
@@ -325,7 +325,7 @@ def leaked_items(
                     term = block.term_of(keys)
                     for n in block.possible(term, spans, threshold):
                         passage = slice(spans.first[n], spans.end[n])
-                        query = np.unique(term[passage])
+                        query = texts.distinct(term[passage])
                         for item, score in block.search(query[query >= 0], threshold):
                             asked, answered = (overlap_of(keys[passage], *block.runs(p, item)) for p in ("question", "answer"))
                             key = (int(spans.text[n]), int(block.ids[item]))

@@ -10,6 +10,7 @@ The number of shards is that of the session's shuffle partitions: it has to grow
 from __future__ import annotations
 
 import mmap
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,7 +32,11 @@ def shards_of(spark: SparkSession) -> int:
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder that all executors share, and the folder's path in it."""
-    return pafs.FileSystem.from_uri(uri)
+    plain = re.sub(r"^s3[an]:", "s3:", uri)
+    try:
+        return pafs.FileSystem.from_uri(plain)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
+        raise ValueError(f"spark.checkpoint.dir has to be an absolute path or in a store that pyarrow reads, not {uri}") from error
 
 
 def write_file(uri: str, name: str, parts: list) -> None:

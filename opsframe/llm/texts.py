@@ -133,6 +133,12 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool =
     return out
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order; a sort of numbers is far faster than the table that ``np.unique`` builds."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
 def window_starts(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """First key of every run of ``n`` keys within a text, and for each text where its runs begin in these."""
     counts = np.maximum(np.diff(bounds) - n + 1, 0)
