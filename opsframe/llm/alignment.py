@@ -243,10 +243,12 @@ def sentence_pieces(path: str) -> Vocabulary:
         return [ids if len(part) > 1 else [space] for part, ids in zip(parts, model.encode([p[1:] for p in parts], num_threads=1))]
 
     def cut(part: texts.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        begins = part.offsets[:-1][np.diff(part.offsets) > 0]
-        space_at = part.data == 0x20
-        words = np.flatnonzero(space_at[1:] & ~space_at[:-1]) + 1 if not crossing else begins[:0]
-        starts = np.union1d(begins, words)
+        begun = np.zeros(len(part.data), bool)
+        if not crossing and len(begun):
+            space_at = part.data == 0x20
+            begun[1:] = space_at[1:] & ~space_at[:-1]
+        begun[part.offsets[:-1][np.diff(part.offsets) > 0]] = True
+        starts = np.flatnonzero(begun)
         return starts, np.append(starts[1:], len(part.data))[: len(starts)], np.searchsorted(starts, part.offsets)
 
     return Vocabulary(encode, tokens, cut)

@@ -62,13 +62,15 @@ def pieces(part: texts.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     after[:-1] = ~space[1:] & ~maybe[1:]
     before[part.offsets[:-1][part.offsets[:-1] < size]] = False
     after[part.offsets[1:][part.offsets[1:] > 0] - 1] = False
-    alone = np.flatnonzero(space & before & after)
-    begins = part.offsets[:-1][np.diff(part.offsets) > 0]
+    alone = space & before & after
+    cut = alone.copy()
+    cut[1:] |= (alone & (data != 0x20))[:-1]  # behind any other white space
+    cut[part.offsets[:-1][np.diff(part.offsets) > 0]] = True
     mark, letter = _MARK[data], _LETTER[data]
     accented = np.zeros(size, bool)  # where such a letter ends
     accented[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-    turns = np.flatnonzero(mark[1:] & (letter | accented)[:-1] | letter[1:] & mark[:-1]) + 1
-    starts = np.unique(np.concatenate([begins, alone, alone[data[alone] != 0x20] + 1, turns]))
+    cut[1:] |= mark[1:] & (letter | accented)[:-1] | letter[1:] & mark[:-1]
+    starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], size)
     return starts, ends, np.searchsorted(starts, part.offsets)
 
@@ -112,13 +114,13 @@ def distinct_pieces(docs: DataFrame, shards: int) -> DataFrame:
                 at = np.searchsorted(seen, keys)
                 known = (at < len(seen)) & (seen[np.minimum(at, max(len(seen) - 1, 0))] == keys) if len(seen) else np.zeros(len(keys), bool)
                 new = np.flatnonzero(~known)
-                seen = keys if len(seen) > REMEMBERED else np.union1d(seen, keys)
+                seen = keys if len(seen) > REMEMBERED else texts.distinct(np.concatenate([seen, keys]))
                 if len(new):
                     found = _binary(part.data, starts[first[new]], ends[first[new]])
                     shard = pa.array(_shard_of(keys[new], shards).astype(np.int32))
                     yield pa.record_batch([shard, found], names=["shard", "piece"])
 
-    return docs.mapInArrow(find, "shard int, piece string").repartition(shards, "shard").distinct()
+    return docs.mapInArrow(find, "shard int, piece string").repartitionById(shards, F.col("shard")).dropDuplicates(["shard", "piece"])
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -311,18 +313,19 @@ class Codes:
 
 
 def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids, ids_sha256`` for every row: the ids of its whole text, without special tokens.
+    """``doc_id, n_tokens, ids, ids_sha256, text`` for every row: the ids of its whole text, without special tokens.
 
     Each match of ``pattern`` is encoded on its own.  ``ids_sha256`` hashes the ids as little-endian unsigned 32-bit
     numbers.  Null and empty texts have no ids.  Repeated rows are each encoded; an empty table gives no row.  Pieces
-    are found by 64-bit hashes, so ``decode`` and a comparison with the text is the check that none collided.
+    are found by 64-bit hashes, of which two may meet in a very large corpus: ``round_trip`` compares what the ids
+    decode to with the text, byte by byte, and raises an error where they differ.
     """
     spark = docs.sparkSession
     shards = sorted_counts.shards_of(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     uri = scratch_path(spark, "bpe-codes")
     write_codes(encode_pieces(distinct_pieces(rows.select("text"), shards), pattern, ranks), uri, ranks)
-    fields = T._parse_datatype_string("n_tokens bigint, ids array<int>, ids_sha256 string").fields
+    fields = T._parse_datatype_string("n_tokens bigint, ids array<int>, ids_sha256 string, text string").fields
     schema = T.StructType([rows.schema["doc_id"], *fields])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -341,8 +344,8 @@ def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], doc_id: str =
                 digests = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(cuts[:-1], cuts[1:])]
                 listed = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat.astype(np.int32)))
                 yield pa.record_batch(
-                    [some.column("doc_id"), pa.array(counts, pa.int64()), listed, pa.array(digests, pa.string())],
-                    names=["doc_id", "n_tokens", "ids", "ids_sha256"],
+                    [some.column("doc_id"), pa.array(counts, pa.int64()), listed, pa.array(digests, pa.string()), some.column("text")],
+                    names=schema.names,
                 )
 
     return rows.mapInArrow(run, schema)
@@ -355,3 +358,11 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
         hexed[rank] = token.hex()
     literal = F.from_json(F.lit(json.dumps(hexed)), "array<string>")
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(literal, i)), ""))
+
+
+def round_trip(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """The encoded rows with ``decoded`` in place of ``text``: the bytes of the ids, which have to be those of the text."""
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    differs = F.raise_error(F.concat(F.lit("ids do not decode to the text of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("a row without id"))))
+    decoded = encoded.withColumn("decoded", decode(F.col("ids"), ranks))
+    return decoded.withColumn("decoded", F.when(same, F.col("decoded")).otherwise(differs.cast("binary"))).drop("text")
