@@ -112,6 +112,20 @@ def test_byte_model(spark):
     assert sum(model.p((*context, x)) for x in range(q.SYMBOLS) if x != q.BEGIN) == pytest.approx(1)
 
 
+def test_long_texts_are_scored_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([("the cat sat on the mat " * 3,), ("a dog and a cat",)], "text string")
+    uri = scratch_path(spark, "byte-test")
+    q.store_model(q.kneser_ney(q.count_grams(docs)), uri)
+    scorer = q.Scorer(uri)
+    for size in (0, 1, 255, 256, 257, 511, 512, 513, 2000):
+        part = texts.from_arrow(pa.array([("the cat and a dog sat " * 100)[:size]]))
+        monkeypatch.setattr(q, "SCORED_BYTES", 1 << 19)
+        whole = scorer.score_new(part)
+        monkeypatch.setattr(q, "SCORED_BYTES", 256)
+        for x, y in zip(scorer.score_new(part), whole):
+            assert x.tolist() == pytest.approx(y.tolist(), rel=1e-12)
+
+
 def test_junk_is_told_from_text(spark):
     rng = random.Random(4)
     syllables = {"en": ["the", "an", "er", "ing"], "de": ["ung", "sch", "ein", "keit"]}
