@@ -1,8 +1,12 @@
 """From raw documents to token ids: quality, repeated lines, near copies, benchmark leaks, encoding.
 
-Each stage takes and returns documents with all their columns; the last returns token ids.  Between stages the
-documents are written and read again.  Decisions are joined to the documents by id and text, so rows that
-share an id are told apart where their texts differ.
+Each stage takes and returns documents with all their columns, whatever their names; the last returns token ids.
+Between stages the documents are written and read again.  Decisions are joined to the documents by id and text, so rows
+that share an id are told apart where their texts differ.
+
+Rows without an id are judged, and stay or go, like others; null and empty texts are what each operator says: the first
+stage judges them as an end alone, they have no lines to lose, no near copies, hold no benchmark item, and have no ids.
+Equal rows are treated alike.  A stage on an empty table returns an empty one.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm.byte_bpe import decode, encode, read_ranks
+from opsframe.llm.byte_bpe import encode, read_ranks, round_trip
 from opsframe.llm.decontaminate import leaked_items
 from opsframe.llm.jaccard_join import similar_documents
 from opsframe.llm.leak_queries import benchmark_items
@@ -39,7 +43,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more have; ``n_chars`` follows the text."""
-    kept = apply_bitmaps(docs, keep_bitmaps(docs)).select(docs.columns)
+    kept = apply_bitmaps(docs, keep_bitmaps(docs), counts=False)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -60,8 +64,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, ids_sha256, decoded_sha256`` of every document."""
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = encode(docs, public_tokenizers.PATTERN, ranks)
-    return encoded.withColumn("decoded_sha256", F.sha2(decode(F.col("ids"), ranks), 256))
+    encoded = round_trip(encode(docs, public_tokenizers.PATTERN, ranks), ranks)
+    return encoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
