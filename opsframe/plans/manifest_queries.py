@@ -10,6 +10,7 @@ from opsframe.operators import manifest, ordered
 from opsframe.plans import tables as t
 from opsframe.plans.registry import query
 from opsframe.sinks import text as sink
+from opsframe.sinks.metric_files import append_metric_files
 from opsframe.sources import manifests, metrics
 from opsframe.storage import scratch_path
 
@@ -108,8 +109,8 @@ def udf_multiply(spark, sf_dir):
 @query("SELECT event_type AS metric, user_id::VARCHAR AS id, ts, value FROM events")
 def metric_tsv_scan(spark, sf_dir):
     path = scratch_path(spark, "metrics")
-    sink.append_metric_tsv(t.points(spark, sf_dir), path)
-    return metrics.read_metric_table(spark, path)
+    append_metric_files(t.points(spark, sf_dir), path)
+    return metrics.read_metric_files(spark, path)
 
 
 @query("""
@@ -117,12 +118,13 @@ SELECT event_type AS metric, user_id::VARCHAR AS id, ts, value FROM events
 UNION ALL SELECT event_type AS metric, user_id::VARCHAR AS id, ts, value FROM events WHERE event_type = 'view'
 """)
 def metric_tsv_append(spark, sf_dir):
-    # A second collection delivers one metric again; appending keeps both.
+    # A second collection delivers one metric again; appending keeps both.  An append that runs again adds nothing.
     path = scratch_path(spark, "metrics")
     points = t.points(spark, sf_dir)
-    sink.append_metric_tsv(points, path)
-    sink.append_metric_tsv(points.filter(F.col("metric") == "view"), path)
-    return metrics.read_metric_table(spark, path)
+    append_metric_files(points, path, "first")
+    for _ in range(2):
+        append_metric_files(points.filter(F.col("metric") == "view"), path, "second")
+    return metrics.read_metric_files(spark, path)
 
 
 @query("SELECT event_id, value, 'run-1' AS run_id, ts::DATE AS run_date FROM events")

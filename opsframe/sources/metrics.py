@@ -14,7 +14,7 @@ def _values_only(points: DataFrame) -> DataFrame:
 
 
 def read_metric_files(spark: SparkSession, directory: str) -> DataFrame:
-    """All ``*.tsv`` files below the directory; the metric is the file name up to its first dot."""
+    """All ``*.tsv`` files below the directory; the metric is the file name up to its first dot, its escapes resolved."""
     rows = (
         spark.read.schema(METRIC_ROW)
         .option("sep", "\t")
@@ -24,7 +24,9 @@ def read_metric_files(spark: SparkSession, directory: str) -> DataFrame:
     )
     # File names in the metadata are escaped as in a URL, where a plus sign stands for itself.
     name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
-    return _values_only(rows.select("*", F.substring_index(name, ".", 1).alias("metric")))
+    stem = F.substring_index(name, ".", 1)
+    metric = F.coalesce(F.try_url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))), stem)
+    return _values_only(rows.select("*", metric.alias("metric")))
 
 
 def read_metric_table(spark: SparkSession, directory: str) -> DataFrame:
