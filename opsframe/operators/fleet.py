@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsframe.operators.ordered import with_rank
+from opsframe.storage import cut_lineage
+
 # Cores per worker, step of the elapsed axis, panel labels.
 CORES_PER_INSTANCE = 32
 AXIS_STEP_MINUTES = 5.0
@@ -50,6 +53,23 @@ def grid_pivot(points: DataFrame, times: Sequence) -> DataFrame:
     return points.groupBy("metric", "id").pivot("ts", list(times)).agg(F.first("value", ignorenulls=True))
 
 
+def aligned_grid(grid: DataFrame) -> DataFrame:
+    """``metric, id, values, present``: the values of each series at all times that occur, in order, null where it has none.
+
+    Times are numbered once, in a table of one row per time; a series is then one array of that length, and ``present``
+    says by 1 and 0 where it has a value.  Neither number of series nor of times is bounded but by what a row holds.
+    """
+    times = cut_lineage(with_rank(grid.select("ts").distinct(), "ts", rank="place", total="n_times"), "times")
+    placed = grid.join(times, "ts").select("metric", "id", "n_times", F.struct("place", "value").alias("at"))
+    series = placed.groupBy("metric", "id", "n_times").agg(F.array_sort(F.collect_list("at")).alias("found"))
+    gap = lambda at, i: at["place"] - F.coalesce(F.get("found", i - 1)["place"], F.lit(-1)) - 1
+    _nulls = lambda n: F.array_repeat(F.lit(None).cast("double"), n.cast("int"))
+    filled = F.flatten(F.transform("found", lambda at, i: F.concat(_nulls(gap(at, i)), F.array(at["value"]))))
+    rest = F.col("n_times") - 1 - F.element_at("found", -1)["place"]
+    values = series.select("metric", "id", F.concat(filled, _nulls(rest)).alias("values"))
+    return values.withColumn("present", F.array_join(F.transform("values", lambda v: F.when(v.isNull(), "0").otherwise("1")), ""))
+
+
 def fleet_band(grid: DataFrame) -> DataFrame:
     """Per metric and time: mean over instances and the band of one sample deviation around it.
 
@@ -118,13 +138,17 @@ def high_water(points: DataFrame, *keys: str) -> DataFrame:
     return points.groupBy(*(keys or ("id",))).agg(F.max("ts").alias("mark"))
 
 
-def collection_plan(ids: DataFrame, marks: DataFrame, metrics: Sequence[str], default_start: Column) -> DataFrame:
+def collection_plan(ids: DataFrame, marks: DataFrame, metrics: Sequence[str] | DataFrame, default_start: Column) -> DataFrame:
     """Every instance with every metric, and the time from which to collect next.
 
-    The metrics are a short list of the caller, expanded within each row.
-    ``marks`` has one row per instance, and per metric if it has that column.
+    The metrics are a short list of the caller, or a table ``metric`` of a length that one row can hold; they are expanded
+    within each row.  ``marks`` has one row per instance, and per metric if it has that column.
     """
-    plan = ids.select("id", F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric"))
+    if isinstance(metrics, DataFrame):
+        listed = metrics.agg(F.array_sort(F.collect_set("metric")).alias("metric")).scalar()
+    else:
+        listed = F.array(*[F.lit(m) for m in metrics])
+    plan = ids.select("id", F.explode(listed).alias("metric"))
     keys = ["id", "metric"] if "metric" in marks.columns else ["id"]
     return plan.join(marks.select(*keys, "mark"), keys, "left").select(
         "id", "metric", F.coalesce("mark", default_start).alias("start")

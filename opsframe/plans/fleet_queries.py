@@ -43,15 +43,16 @@ def grid_dedup(spark, sf_dir):
     return grid(spark, sf_dir)
 
 
-@query(DAILY + ", named AS (SELECT metric, id, strftime(ts, '%Y-%m-%d') AS day, value FROM grid)" + """
-PIVOT named ON day USING max(value) GROUP BY metric, id
+@query(DAILY + """,
+times AS (SELECT DISTINCT ts FROM grid), series AS (SELECT DISTINCT metric, id FROM grid)
+SELECT metric, id, count(*) AS n_times, string_agg(CASE WHEN value IS NULL THEN '0' ELSE '1' END, '' ORDER BY ts) AS present,
+       string_agg(coalesce(printf('%.6f', value), ''), ',' ORDER BY ts) AS values
+FROM series CROSS JOIN times LEFT JOIN grid USING (metric, id, ts) GROUP BY metric, id
 """)
 def grid_pivot(spark, sf_dir):
-    by_day = grid(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd"))
-    # A column for each day that occurs.
-    days = sorted(row.ts for row in t.daily(t.points(spark, sf_dir)).filter("value is not null").select(
-        F.date_format("ts", "yyyy-MM-dd").alias("ts")).distinct().collect())
-    return fleet.grid_pivot(by_day, days)
+    aligned = fleet.aligned_grid(grid(spark, sf_dir))
+    spelled = F.transform("values", lambda v: F.when(v.isNull(), "").otherwise(F.format_string("%.6f", v)))
+    return aligned.select("metric", "id", F.size("values").cast("long").alias("n_times"), "present", F.array_join(spelled, ",").alias("values"))
 
 
 @query(BAND + """
@@ -130,14 +131,13 @@ SELECT u.id, m.metric, coalesce(v.mark, TIMESTAMP '2024-01-31' - INTERVAL '1800
 FROM (SELECT DISTINCT user_id AS id FROM events) u
 CROSS JOIN (SELECT DISTINCT event_type AS metric FROM events) m
 LEFT JOIN (
-  SELECT user_id AS id, event_type AS metric, max(ts) AS mark FROM events WHERE value > 50 GROUP BY ALL
+  SELECT user_id AS id, event_type AS metric, max(ts) AS mark FROM events GROUP BY ALL
 ) v ON v.id = u.id AND v.metric = m.metric
 """)
 def collection_plan(spark, sf_dir):
     points = t.points(spark, sf_dir)
-    # What was collected so far: not every instance has every metric there.
-    marks = fleet.high_water(points.filter(F.col("value") > 50), "id", "metric")
-    metrics = sorted(row.metric for row in points.select("metric").distinct().collect())
+    marks = fleet.high_water(points, "id", "metric")
+    metrics = points.select("metric").distinct()
     start = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz") - F.expr("interval 1800 seconds")
     return fleet.collection_plan(inventory.distinct_ids(points), marks, metrics, start)
 

@@ -9,8 +9,10 @@ from opsframe.functions import paths, sizes
 from opsframe.operators import inventory, objects, ordered
 from opsframe.plans import tables as t
 from opsframe.plans.registry import query
+from opsframe.sinks import run_lines
 from opsframe.sinks import text as sink
-from opsframe.sources import listings, manifests
+from opsframe.sinks.metric_files import append_metric_files
+from opsframe.sources import manifests, tree
 from opsframe.storage import scratch_path
 
 QUOTA = 100_000
@@ -243,14 +245,21 @@ def collate_runs(spark, sf_dir):
     return runs_of_events(spark, sf_dir).select("user_id", "event_id", "event_type", "run_place")
 
 
+def _written_lines(spark: SparkSession, runs: DataFrame, id_column: str, url: str) -> DataFrame:
+    path = scratch_path(spark, "run-lines")
+    run_lines.write_run_lines(runs, path, id_column, url)
+    return run_lines.read_run_lines(spark, path)
+
+
 @query(f"""
-WITH {RUNS} SELECT user_id, event_type AS id, count(*)::INTEGER AS n,
-  event_type || ',' || string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS line
-FROM runs GROUP BY user_id, run, event_type
+WITH {RUNS} SELECT dense_rank() OVER (ORDER BY user_id, run) - 1 AS line,
+  row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) - 1 AS place,
+  event_type AS id, event_id::VARCHAR AS url
+FROM runs
 """)
 def collect_urls(spark, sf_dir):
-    lines = objects.collate_lines(runs_of_events(spark, sf_dir), "event_type", "event_id", "user_id")
-    return lines.select("user_id", "id", "n", "line")
+    # The text read back: a line is spread over as many rows and parts as it has URLs.
+    return _written_lines(spark, runs_of_events(spark, sf_dir), "event_type", "event_id")
 
 
 @query("""
@@ -259,14 +268,13 @@ WITH named AS (
 marked AS (
   SELECT *, CASE WHEN lag(id) OVER w IS DISTINCT FROM id THEN 1 ELSE 0 END AS start FROM named WINDOW w AS (ORDER BY url)),
 runs AS (SELECT *, sum(start) OVER (ORDER BY url ROWS UNBOUNDED PRECEDING) AS run FROM marked)
-SELECT id, count(*)::INTEGER AS n, id || ',' || string_agg(url, ',' ORDER BY url) AS line
-FROM runs WHERE id <> '' GROUP BY run, id
+SELECT dense_rank() OVER (ORDER BY run) - 1 AS line, row_number() OVER (PARTITION BY run ORDER BY url) - 1 AS place, id, url
+FROM runs WHERE id <> ''
 """)
 def nonempty_guard(spark, sf_dir):
     # One walk over all URLs in order; URLs that end with a slash have no id and break a run.
     named = t.urls(spark, sf_dir).select("url", paths.stem_before(F.col("url"), ".html").alias("id"))
-    lines = objects.collate_lines(objects.collate_runs(named, ["url"], "id"), "id", "url")
-    return lines.select("id", "n", "line")
+    return _written_lines(spark, objects.collate_runs(named, ["url"], "id"), "id", "url")
 
 
 @query(f"WITH {SAMPLE} SELECT key, size FROM sample")
@@ -350,12 +358,13 @@ def inventory_flatten(spark, sf_dir):
     return instances(spark, sf_dir)
 
 
-@query(f"WITH {INSTANCES} SELECT id, placement FROM instances WHERE placement = 'zone7' AND id LIKE '%-worker'")
+@query(f"WITH {INSTANCES} SELECT id, placement FROM instances WHERE ip IS NOT NULL AND state = 'running' AND id LIKE '%-worker'")
 def tag_filter(spark, sf_dir):
     role = F.regexp_extract("id", "([a-z]+)$", 1)
-    tags = F.create_map(F.lit("cluster_name"), "placement", F.lit("Name"), role)
+    cluster = F.when(F.col("ip").isNotNull(), F.concat_ws("-", F.lit("addressed"), "state"))
+    tags = F.create_map(F.lit("cluster_name"), cluster, F.lit("Name"), role)
     tagged = instances(spark, sf_dir).withColumn("tags", tags)
-    return inventory.tag_filter(tagged, cluster_name="zone7", Name="worker", owner=None).select("id", "placement")
+    return inventory.tag_filter(tagged, cluster_name="addressed-running", Name="worker", owner=None).select("id", "placement")
 
 
 @query(f"WITH {INSTANCES} SELECT id FROM instances WHERE state = 'running'")
@@ -390,18 +399,26 @@ def id_list_sink(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "id")
 
 
-@query("SELECT DISTINCT 'metric=' || event_type AS folder FROM events")
+@query("""
+SELECT event_type AS metric, sum(length(user_id::VARCHAR) + length(value::VARCHAR) + 29)::BIGINT AS bytes
+FROM events GROUP BY event_type
+""")
 def file_discovery(spark, sf_dir):
-    path = scratch_path(spark, "metrics")
-    sink.append_metric_tsv(t.points(spark, sf_dir), path)
-    found = listings.read_listing(spark, path, "*.csv")
-    return found.filter(F.col("size") > 0).select(paths.dirname(F.col("key")).alias("folder")).distinct()
+    # The metric files below a run's folder among whatever else lies there; a line has two tabs, a break and 26 of time.
+    path = scratch_path(spark, "run")
+    append_metric_files(t.points(spark, sf_dir), f"{path}/metrics")
+    sink.write_ids(t.points(spark, sf_dir), f"{path}/ids")
+    found = tree.walk_files(spark, path, "*.tsv")
+    metric = F.substring_index(paths.basename(F.col("key")), ".", 1)
+    return found.groupBy(metric.alias("metric")).agg(F.sum("size").alias("bytes"))
 
 
-@query("SELECT DISTINCT 'metric=' || event_type AS folder FROM events")
+@query("""
+SELECT 'source=' || source || '/lang=' || lang AS folder, 1::BIGINT AS n_files, sum(length(doc_id::VARCHAR) + 1)::BIGINT AS bytes
+FROM documents GROUP BY source, lang
+""")
 def tree_listing(spark, sf_dir):
     path = scratch_path(spark, "tree")
-    sink.append_metric_tsv(t.points(spark, sf_dir), path)
-    root = paths.basename(F.lit(path))
-    below = listings.read_tree(spark, path).select(paths.relative_to(F.col("path"), root).alias("key"))
-    return below.filter(F.col("key").contains("/")).select(paths.dirname(F.col("key")).alias("folder")).distinct()
+    named = t.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("line"), "source", "lang")
+    named.repartition("source", "lang").write.partitionBy("source", "lang").text(path)
+    return tree.folder_totals(tree.walk_files(spark, path, "*.txt"))

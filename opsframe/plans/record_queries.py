@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsframe.operators import records
@@ -24,9 +23,17 @@ MATES = LINES + """, mates AS (
 RULES = (("The", "aws:us-west-2:run"), ("Re", "--s3_dir out"))
 
 
-@query(f"WITH {LINES} SELECT file, ordinal, n_lines, ordinal // 4 AS read, (ordinal % 4)::INTEGER AS field, line FROM lines")
+@query(f"""
+WITH {LINES}, placed AS (SELECT row_number() OVER (ORDER BY file, ordinal) - 1 AS ordinal, line FROM lines)
+SELECT ordinal, ordinal // 4 AS read, (ordinal % 4)::INTEGER AS field, line FROM placed
+""")
 def fastq_scan(spark, sf_dir):
-    return records.fastq_reads(t.document_lines(spark, sf_dir))
+    # The lines as text files that follow each other; a read may begin in one file, or one block, and end in the next.
+    path = scratch_path(spark, "reads")
+    lines = t.document_lines(spark, sf_dir).filter("line is not null").repartitionByRange("file", "ordinal")
+    lines.sortWithinPartitions("file", "ordinal").select("line").write.text(path)
+    placed = numbered.in_sequence(numbered.read_lines(spark, path))
+    return records.fastq_reads(placed.select(F.col("place").alias("ordinal"), "line"))
 
 
 @query(f"WITH {MATES} SELECT file, mate, mate_ordinal, line FROM mates")
@@ -77,13 +84,8 @@ def line_rewrite(spark, sf_dir):
 @query("SELECT o_orderkey::VARCHAR AS line, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders")
 def line_ordinals(spark, sf_dir):
     # Order keys as text files that follow each other in key order, read back with
-    # their line numbers; one row per file tells how many lines stand before it.
+    # their line numbers.
     path = scratch_path(spark, "text")
     keys = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("line"), "o_orderkey")
     keys.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select("line").write.text(path)
-    lines = numbered.read_lines(spark, path)
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = lines.select("file", "n_lines").distinct().select(
-        "file", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)).alias("before")
-    )
-    return lines.join(files, "file").select("line", (F.col("before") + F.col("ordinal")).alias("place"))
+    return numbered.in_sequence(numbered.read_lines(spark, path)).select("line", "place")

@@ -34,3 +34,14 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return raw.join(starts, ["file", "_block"]).select(
         "file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("ordinal"), "n_lines", "line"
     )
+
+
+def in_sequence(lines: DataFrame) -> DataFrame:
+    """Adds ``place``: the number of each line when the files follow each other by name.
+
+    One row per file is all that meets in a task.  Columns of ``lines`` stay.
+    """
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = lines.groupBy("file").agg(F.max("n_lines").alias("_n"))
+    before = files.select("file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return lines.join(before, "file").select(*lines.columns, (F.col("_before") + F.col("ordinal")).alias("place"))

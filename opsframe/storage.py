@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,3 +57,11 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path for use within tasks, and the path in it; names of Spark's S3 schemes are understood."""
+    try:
+        return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
+        raise ValueError(f"not an absolute path, nor in a store that pyarrow reads: {uri}") from error
