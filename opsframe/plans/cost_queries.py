@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsframe.functions import times
@@ -14,7 +14,8 @@ from opsframe.plans.reports import run_report as report_of_run
 from opsframe.sinks import text as sink
 from opsframe.storage import scratch_path
 
-PRICES = "prices AS (SELECT user_id % 5 AS zone, ts, value AS price FROM events WHERE event_type = 'purchase')"
+PRICES = """prices AS (
+  SELECT 'type' || user_id % 3 AS instance_type, user_id % 5 AS zone, ts, value AS price FROM events WHERE event_type = 'purchase')"""
 
 
 def _costs(lifetimes: str) -> str:
@@ -25,40 +26,45 @@ costs AS (
   SELECT l.*, coalesce(p.n, 0) AS prices, coalesce(p.total / p.n, 0) AS avg_price,
          date_diff('second', date_trunc('second', l.start), date_trunc('second', l.stop)) / 3600.0::DOUBLE AS hours
   FROM lifetimes l LEFT JOIN (
-    SELECT l.metric, l.id, count(p.price) AS n, sum(p.price) AS total
-    FROM lifetimes l JOIN prices p ON p.zone = l.zone AND p.ts BETWEEN l.start AND l.stop GROUP BY ALL
+    SELECT l.metric, l.id, count(p.price) AS n, sum(p.price::DECIMAL(28, 12))::DOUBLE AS total
+    FROM lifetimes l JOIN prices p ON p.instance_type = l.instance_type AND p.zone = l.zone AND p.ts BETWEEN l.start AND l.stop GROUP BY ALL
   ) p ON p.id = l.id AND p.metric IS NOT DISTINCT FROM l.metric)
 """
 
 
 BY_USER = _costs("""
-  SELECT NULL::VARCHAR AS metric, user_id AS id, user_id % 5 AS zone, min(ts) AS start, max(ts) AS stop
+  SELECT NULL::VARCHAR AS metric, user_id AS id, 'type' || user_id % 3 AS instance_type, user_id % 5 AS zone, min(ts) AS start, max(ts) AS stop
   FROM events WHERE event_type <> 'purchase' GROUP BY ALL""")
 BY_SERIES = _costs("""
-  SELECT event_type AS metric, user_id AS id, user_id % 5 AS zone, min(ts) AS start, max(ts) AS stop
+  SELECT event_type AS metric, user_id AS id, 'type' || user_id % 3 AS instance_type, user_id % 5 AS zone, min(ts) AS start, max(ts) AS stop
   FROM events WHERE event_type <> 'purchase' GROUP BY ALL""")
 
 
 def instance_costs(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     lifetimes = t.used(spark, sf_dir).groupBy(*keys).agg(F.min("ts").alias("start"), F.max("ts").alias("stop"))
-    return cost.spot_cost(lifetimes.select("*", t.zone()), t.prices(spark, sf_dir), ["zone"])
+    return cost.spot_cost(lifetimes.select("*", t.instance_type(), t.zone()), t.prices(spark, sf_dir))
+
+
+def _four(column: str) -> Column:
+    """Four places, by operations on doubles that give the same everywhere: what ``round`` does with a half depends."""
+    return (F.floor(F.col(column) * 10000 + 0.5) / F.lit(10000.0)).alias(column)
 
 
 @query(f"""
 WITH {PRICES}, {BY_USER}
-SELECT id, zone, start, stop, prices, round(avg_price, 6) AS avg_price, round(hours, 6) AS hours,
-       round(hours * avg_price, 4) AS cost
+SELECT id, instance_type, zone, start, stop, prices, round(avg_price, 6) AS avg_price, round(hours, 6) AS hours,
+       floor(hours * avg_price * 10000 + 0.5) / 10000 AS cost
 FROM costs
 """)
 def spot_cost(spark, sf_dir):
     return instance_costs(spark, sf_dir, "id").select(
-        "id", "zone", "start", "stop", "prices", t.r("avg_price"), t.r("hours"), t.r("cost", 4)
+        "id", "instance_type", "zone", "start", "stop", "prices", t.r("avg_price"), t.r("hours"), _four("cost")
     )
 
 
-@query(f"WITH {PRICES}, {BY_SERIES} SELECT metric, id, round(hours * avg_price, 4) AS cost FROM costs")
+@query(f"WITH {PRICES}, {BY_SERIES} SELECT metric, id, floor(hours * avg_price * 10000 + 0.5) / 10000 AS cost FROM costs")
 def series_cost(spark, sf_dir):
-    return instance_costs(spark, sf_dir, "metric", "id").select("metric", "id", t.r("cost", 4))
+    return instance_costs(spark, sf_dir, "metric", "id").select("metric", "id", _four("cost"))
 
 
 @query(f"""

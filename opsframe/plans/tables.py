@@ -38,10 +38,14 @@ def zone(user: str = "id") -> Column:
     return (F.col(user) % 5).alias("zone")
 
 
+def instance_type(user: str = "id") -> Column:
+    return F.concat(F.lit("type"), (F.col(user) % 3).cast("string")).alias("instance_type")
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as price history."""
     bought = points(spark, sf_dir).filter(F.col("metric") == "purchase")
-    return bought.select(zone(), "ts", F.col("value").alias("price"))
+    return bought.select(instance_type(), zone(), "ts", F.col("value").alias("price"))
 
 
 def used(spark: SparkSession, sf_dir: str) -> DataFrame:
