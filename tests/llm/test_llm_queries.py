@@ -9,7 +9,7 @@ from opsframe.llm.catalogue import ORACLES, QUERIES
 
 
 def test_names():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert QUERIES["pipeline"] is corpus_pipeline.run and set(ORACLES) <= set(QUERIES)
 
 
