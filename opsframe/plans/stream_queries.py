@@ -9,6 +9,7 @@ from opsframe.plans import tables as t
 from opsframe.plans.registry import query
 from opsframe.sources import metrics
 from opsframe.storage import scratch_path
+from opsframe.streaming import merged
 from opsframe.streaming import operators as ops
 from opsframe.streaming import run as runs
 
@@ -30,14 +31,20 @@ def read_batches(spark: SparkSession, stream: DataFrame, label: str, **options)
     return spark.read.parquet(f"{path}/rows")
 
 
+def read_sums(spark: SparkSession, stream: DataFrame, label: str, partial: merged.Reduce, merge: merged.Reduce) -> DataFrame:
+    path = scratch_path(spark, label)
+    merged.merge_batches(stream, f"{path}/rows", f"{path}/state", partial, merge, available_now=True).awaitTermination()
+    return merged.read_merged(spark, f"{path}/rows", merge)
+
+
 def no_zone(df: DataFrame, column: str = "ts") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 
 
 @query("SELECT user_id AS id, event_type AS metric, max(ts) AS mark FROM events GROUP BY ALL")
 def stream_high_water(spark, sf_dir):
-    batches = read_batches(spark, ops.high_water(stream_of_points(spark, sf_dir)), "marks")
-    return no_zone(runs.latest(batches, "id", "metric"), "mark")
+    marks = read_sums(spark, stream_of_points(spark, sf_dir), "marks", ops.high_water, ops.merge_marks)
+    return no_zone(marks, "mark")
 
 
 @query("""
@@ -51,6 +58,18 @@ def stream_period_avg(spark, sf_dir):
     return no_zone(newest).select("metric", "id", "ts", t.r("value"))
 
 
+@query("""
+SELECT event_type AS metric, user_id AS id, time_bucket(INTERVAL '300 seconds', ts)::TIMESTAMP AS ts,
+       round(avg(value), 6) AS value
+FROM events GROUP BY ALL
+""")
+def stream_period_merge(spark, sf_dir):
+    # Without a watermark: points that come late are merged like all others.
+    stream = stream_of_points(spark, sf_dir)
+    sums = read_sums(spark, stream, "sums", ops.period_sums, ops.merge_period_sums)
+    return no_zone(ops.averages_of_sums(sums)).select("metric", "id", "ts", t.r("value"))
+
+
 @query("SELECT DISTINCT event_type AS metric, user_id AS id, ts, value, event_id FROM events")
 def stream_dedup(spark, sf_dir):
     # Every point arrives twice, as from overlapping polls; copies have the key of the original.
@@ -107,5 +126,6 @@ def stream_alarm(spark, sf_dir):
         stream_of_points(spark, sf_dir), threshold=30.0, period_seconds=6 * HOUR, evaluation_periods=2
     )
     path = scratch_path(spark, "alarms")
+    runs.use_keyed_state(spark)
     runs.append_files(alarms, f"{path}/rows", f"{path}/state", available_now=True).awaitTermination()
     return no_zone(spark.read.schema(alarms.schema).parquet(f"{path}/rows")).select("metric", "id", "ts", t.r("value"))

@@ -44,8 +44,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def remove_scratch(spark: SparkSession) -> None:
     """Removes all intermediate tables of this application; results that still read them are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(spark, scratch_dir(spark))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder and all below it."""
+    found, store = _hadoop_path(spark, path)
+    store.delete(found, True)
+
+
+def committed_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` that a Spark job has finished writing."""
+    found, store = _hadoop_path(spark, path)
+    if not store.exists(found):
+        return []
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    folders = [entry.getPath() for entry in store.listStatus(found) if entry.isDirectory()]
+    return [folder.getName() for folder in folders if store.exists(mark(folder, "_SUCCESS"))]
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

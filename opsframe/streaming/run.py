@@ -11,12 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 from opsframe.streaming.operators import POLL_INTERVAL
 
 BATCH = "batch"
+# Fixed value: the class of the store.
+KEYED_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _trigger(available_now: bool) -> dict:
+def trigger(available_now: bool) -> dict:
+    """All there is, or one batch per poll interval."""
     return {"availableNow": True} if available_now else {"processingTime": POLL_INTERVAL}
 
 
+def use_keyed_state(spark: SparkSession) -> None:
+    """Keeps the state of queries started from now on in RocksDB, which timers and keyed state need.
+
+    A query that goes on from a checkpoint keeps the store it was started with.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", KEYED_STORE)
+
+
 def read_points(spark: SparkSession, directory: str, schema: str, pattern: str | None = None, **options: str) -> DataFrame:
     """Stream over the Parquet files that appear in a directory."""
     reader = spark.readStream.schema(schema).options(**options)
@@ -38,7 +49,7 @@ def append_files(
     writer = stream.writeStream.outputMode("append").format(file_format).options(**options)
     if by:
         writer = writer.partitionBy(*by)
-    return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(available_now)).start(path)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger(available_now)).start(path)
 
 
 def update_batches(
@@ -56,7 +67,7 @@ def update_batches(
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
 
     writer = stream.writeStream.outputMode(mode).foreachBatch(write)
-    return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(available_now)).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger(available_now)).start()
 
 
 def latest(batches: DataFrame, *keys: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opsframe.operators import series
+from opsframe.streaming import merged
 from opsframe.streaming import operators as ops
 from opsframe.streaming import run as runs
 
@@ -93,16 +94,19 @@ def test_idle_looks_at_newly_read_points_only(spark, feed):
     assert rows(got.select("id", "batch"), "id") == [("a", 0)]
 
 
-@pytest.mark.parametrize("periods", [1, 3])
+@pytest.mark.parametrize("periods", [1, 2, 12])
 def test_alarm_equals_batch_on_closed_periods(spark, feed, periods):
+    runs.use_keyed_state(spark)
     data = []
     for i in range(40):
-        for name, low in (("a", i % 7 != 3), ("b", i % 2 == 0), ("c", i not in (5, 6))):
+        for name, low in (("a", i % 7 != 3), ("b", i % 2 == 0), ("c", i not in (5, 6)), ("d", True)):
             if not (name == "c" and i == 20):
                 data.append(("cpu", name, at(5 * i), 0.1 if low else 0.9))
     closing = ("cpu", "z", at(5 * 40 + 61), 0.9)
     stream = lambda: ops.alarm(feed.stream(), evaluation_periods=periods)
-    for part in (data[:60], data[60:] + [closing]):
+    # Unsorted within a part, and points that are late but not too late.
+    late, rest = data[40:48], data[:40] + data[48:]
+    for part in (rest[:61][::-1], rest[61:70] + late, rest[70:][::-1] + [closing]):
         feed(*part)
         runs.append_files(stream(), feed.out, feed.state, available_now=True).awaitTermination()
     got = spark.read.parquet(feed.out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -119,3 +123,58 @@ def test_a_batch_that_runs_again_replaces_its_folder(spark, feed):
             ops.high_water(feed.stream()), feed.out, f"{feed.state}-{state}", available_now=True
         ).awaitTermination()
     assert spark.read.parquet(feed.out).count() == 1
+
+
+def test_runs_that_end_leave_state(spark, feed):
+    runs.use_keyed_state(spark)
+    series_ = [("cpu", f"s{i}", at(0), 0.1) for i in range(20)]
+    stream = lambda: ops.alarm(feed.stream(), evaluation_periods=12)
+    kept = []
+    # The watermark closes the first period of all series, then the one that nothing was reported in.
+    for part in (series_ + [("cpu", "z", at(66), 0.9)], [("cpu", "z", at(200), 0.9)]):
+        feed(*part)
+        going = runs.append_files(stream(), feed.out, feed.state, available_now=True)
+        going.awaitTermination()
+        kept.append(going.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert kept[0] >= 20 and kept[1] == 0
+
+
+@pytest.mark.parametrize("partial, merge", [(ops.high_water, ops.merge_marks), (ops.period_sums, ops.merge_period_sums)])
+def test_merged_batches_equal_one_batch_and_stay_few(spark, feed, partial, merge):
+    # 11 batches of three: late points, an old one of a new series, a series with a third of all rows.
+    points = [("cpu", "abc"[i % 3] if i % 2 else "hot", at(7 * (i * 5 % 33)), float(i)) for i in range(33)]
+    points[-1] = ("mem", "new", at(-10_000), 1.0)
+    for i in range(11):
+        feed(*points[3 * i : 3 * i + 3])
+        merged.merge_batches(feed.stream(), feed.out, feed.state, partial, merge, fan_in=2, available_now=True).awaitTermination()
+    got = merged.read_merged(spark, feed.out, merge)
+    want = partial(ops.with_event_time(spark.createDataFrame(points, SCHEMA)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    spans = merged._spans(spark, feed.out)
+    assert merged.cover(spans) == [(0, 7), (8, 9), (10, 10)]
+    # Only what the last batch may need again is kept beside them.
+    assert len(spans) <= 5
+
+
+def test_a_merged_batch_that_runs_again_changes_nothing(spark, feed):
+    feed(("cpu", "a", at(0), 1.0))
+    seen = []
+    for state in ("one", "two"):
+        # The second run has lost its checkpoint after the first batch: batch 0 runs again.
+        merged.merge_batches(
+            feed.stream(), feed.out, f"{feed.state}-{state}", ops.period_sums, ops.merge_period_sums, fan_in=2, available_now=True
+        ).awaitTermination()
+        seen.append(merged.read_merged(spark, feed.out, ops.merge_period_sums).collect())
+    assert seen[0] == seen[1] and len(seen[0]) == 1
+
+
+def test_spans_that_end_with_a_batch():
+    assert merged.merged_spans(6, 2) == []
+    assert merged.merged_spans(7, 2) == [(6, 7), (4, 7), (0, 7)]
+    assert merged.cover([(0, 0), (1, 1), (0, 1), (2, 2)]) == [(0, 1), (2, 2)]
+    assert merged.cover([]) == []
+
+
+def test_nothing_merged_yet_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="no batch"):
+        merged.read_merged(spark, f"{tmp_path}/none", ops.merge_marks)
