@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +80,27 @@ def map_samples(
     return spread.mapInPandas(run, schema)
 
 
+def map_projects(
+    samples: DataFrame,
+    func: Callable[..., Iterator[pa.RecordBatch]],
+    schema: T.StructType | str,
+    *args: object,
+    by: str = "project",
+) -> DataFrame:
+    """Applies ``func(project, batches, *args)`` to the samples of each project; it yields Arrow batches.
+
+    ``batches`` is read once, in Arrow batches of at most
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` samples and in no set order,
+    so a task holds one batch of a project, however many samples that has.  A
+    missing project is a project of its own.
+    """
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from func(key[0].as_py(), batches, *args)
+
+    return samples.groupBy(by).applyInArrow(run, schema)
+
+
 @F.pandas_udf(T.DoubleType())
 def multiply(x: pd.Series, y: pd.Series) -> pd.Series:
     """Product of two columns, on Arrow batches."""

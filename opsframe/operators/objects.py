@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsframe.functions.keys import stable_uuid
@@ -25,6 +25,8 @@ UPLOAD_TRIES = 3
 FILES_SUFFIX = "--files"
 JOBS_SUFFIX = "--jobs"
 LANE_MARK = "_L00"
+# Parts whose receipt one long holds as bits.
+WORD_PARTS = 64
 
 
 def object_listing(objects: DataFrame, prefix: str = "") -> DataFrame:
@@ -149,15 +151,59 @@ def chunk_plan(objects: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
     )
 
 
+def _words(received: DataFrame) -> DataFrame:
+    """Parts received as bits of words of 64 parts: combined before the shuffle, and a key of many parts has many words."""
+    zero = F.col("part").cast("long") - 1
+    word = int_div(zero, F.lit(WORD_PARTS))
+    return (
+        received.filter(F.col("part") >= 1)
+        .select("key", word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), (zero % WORD_PARTS).cast("int")).alias("_bit"))
+        .groupBy("key", "_word")
+        .agg(F.bit_or("_bit").alias("_bits"))
+    )
+
+
+def _planned_bits(word: Column, planned: Column) -> Column:
+    """The bits of a word that stand for planned parts."""
+    n = F.least(planned.cast("long") - word * WORD_PARTS, F.lit(WORD_PARTS).cast("long")).cast("int")
+    one = F.lit(1).cast("long")
+    return F.when(n >= WORD_PARTS, F.lit(-1).cast("long")).when(n <= 0, F.lit(0).cast("long")).otherwise(
+        F.call_function("shiftleft", one, n) - 1
+    )
+
+
 def chunk_verify(plan: DataFrame, received: DataFrame) -> DataFrame:
-    """Parts planned and received per key; complete if they are equally many.
+    """Parts planned, and how many of them were received, per key; complete if that is all of them.
 
-    A part that was sent twice counts once.
+    A part that was sent twice counts once, one that is not in the plan does not
+    count.  Repeated lines of the plan count once.
     """
-    arrived = received.groupBy("key").agg(F.count_distinct("part").alias("received"))
-    got = F.coalesce("received", F.lit(0).cast("long"))
-    return plan.join(arrived, "key", "left").select(
-        "key", "planned", got.alias("received"), (got == F.col("planned")).alias("complete")
+    joined = plan.select("key", "planned").distinct().join(_words(received), "key", "left")
+    wanted = F.col("_bits").bitwiseAND(_planned_bits(F.col("_word"), F.col("planned")))
+    got = F.coalesce(F.sum(F.bit_count(wanted).cast("long")), F.lit(0).cast("long"))
+    counted = joined.groupBy("key", "planned").agg(got.alias("received"))
+    return counted.withColumn("complete", F.col("received") == F.greatest("planned", F.lit(0)))
+
+
+def missing_parts(plan: DataFrame, received: DataFrame) -> DataFrame:
+    """One row per planned part that was not received."""
+    last = int_div(F.col("planned").cast("long") - 1, F.lit(WORD_PARTS))
+    words = (
+        plan.select("key", "planned")
+        .distinct()
+        .filter(F.col("planned") > 0)
+        .withColumn("_word", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    )
+    lacking = _planned_bits(F.col("_word"), F.col("planned")).bitwiseAND(
+        F.bitwise_not(F.coalesce("_bits", F.lit(0).cast("long")))
+    )
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD_PARTS - 1)), lambda i: F.getbit("_lacking", i) == 1)
+    return (
+        words.join(_words(received), ["key", "_word"], "left")
+        .withColumn("_lacking", lacking)
+        .filter(F.col("_lacking") != 0)
+        .select("key", "_word", F.explode(places).alias("_place"))
+        .select("key", (F.col("_word") * WORD_PARTS + F.col("_place") + 1).alias("part"))
     )
 
 

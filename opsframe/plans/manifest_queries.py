@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +104,23 @@ def map_samples(spark, sf_dir):
     return manifest.map_samples(samples, text_length, "doc_id long, length long, tag string", "run")
 
 
+@query("""
+SELECT source AS project, count(*) AS n, coalesce(sum(length(text)), 0)::BIGINT AS length, 'run' AS tag
+FROM documents GROUP BY source
+""")
+def map_projects(spark, sf_dir):
+    def totals(project: str, batches: Iterator[pa.RecordBatch], tag: str) -> Iterator[pa.RecordBatch]:
+        n = length = 0
+        for batch in batches:
+            n += batch.num_rows
+            length += pc.sum(pc.utf8_length(batch.column("text"))).as_py() or 0
+        names = pa.schema({"project": pa.string(), "n": pa.int64(), "length": pa.int64(), "tag": pa.string()})
+        yield pa.RecordBatch.from_pylist([{"project": project, "n": n, "length": length, "tag": tag}], names)
+
+    samples = t.table(spark, sf_dir, "documents").select(F.col("source").alias("project"), "text")
+    return manifest.map_projects(samples, totals, "project string, n long, length long, tag string", "run")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS product FROM lineitem")
 def udf_multiply(spark, sf_dir):
     lines = t.table(spark, sf_dir, "lineitem")

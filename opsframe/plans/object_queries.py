@@ -197,19 +197,42 @@ def chunk_plan(spark, sf_dir):
     return objects.chunk_plan(t.objects(spark, sf_dir), CHUNK)
 
 
-@query("""
-SELECT l_orderkey AS key, max(l_linenumber) AS planned,
-       count(DISTINCT CASE WHEN l_returnflag <> 'R' THEN l_linenumber END) AS received,
-       count(DISTINCT CASE WHEN l_returnflag <> 'R' THEN l_linenumber END) = max(l_linenumber) AS complete
-FROM lineitem GROUP BY l_orderkey
+# Line numbers are the planned parts; lines that were returned are lost, and those sent late carry a number two higher,
+# so that some are received twice and some are not in the plan.
+PARTS = """
+sent AS (
+  SELECT l_orderkey AS key, l_linenumber AS planned_part,
+         CASE l_returnflag WHEN 'N' THEN l_linenumber WHEN 'A' THEN l_linenumber + 2 END AS part FROM lineitem),
+planned AS (SELECT key, max(planned_part) AS planned FROM sent GROUP BY key),
+arrived AS (SELECT DISTINCT key, part FROM sent JOIN planned USING (key) WHERE part BETWEEN 1 AND planned)
+"""
+
+
+def sent_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    part = F.when(F.col("l_returnflag") == "N", F.col("l_linenumber")).when(
+        F.col("l_returnflag") == "A", F.col("l_linenumber") + 2
+    )
+    lines = t.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber", part.alias("part"))
+    plan = lines.groupBy("key").agg(F.max("l_linenumber").alias("planned"))
+    return plan, lines.select("key", "part")
+
+
+@query(f"""
+WITH {PARTS}
+SELECT key, planned, count(part) AS received, count(part) = planned AS complete
+FROM planned LEFT JOIN arrived USING (key) GROUP BY key, planned
 """)
 def chunk_verify(spark, sf_dir):
-    # Line numbers are the planned parts, lines that were not returned the received ones.
-    lines = t.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("part"), "l_returnflag"
-    )
-    plan = lines.groupBy("key").agg(F.max("part").alias("planned"))
-    return objects.chunk_verify(plan, lines.filter(F.col("l_returnflag") != "R"))
+    return objects.chunk_verify(*sent_parts(spark, sf_dir))
+
+
+@query(f"""
+WITH {PARTS}
+SELECT key, part FROM (SELECT key, unnest(generate_series(1, planned::BIGINT)) AS part FROM planned)
+WHERE (key, part) NOT IN (SELECT key, part FROM arrived)
+""")
+def chunk_missing(spark, sf_dir):
+    return objects.missing_parts(*sent_parts(spark, sf_dir))
 
 
 @query("""

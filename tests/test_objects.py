@@ -104,6 +104,29 @@ def test_chunk_verify(spark):
     ]
 
 
+def test_parts_outside_the_plan_do_not_count(spark):
+    plan = spark.createDataFrame([("a", 3), ("b", 130), ("b", 130), ("none", 0), ("lost", 65)], "key string, planned int")
+    got = [("a", 1), ("a", 2), ("a", 99), ("a", 0), ("a", -5), ("a", None), ("other", 1), ("none", 1)]
+    got += [("b", i) for i in range(1, 140) if i not in (1, 64, 65, 128, 130)]
+    got = spark.createDataFrame(got, "key string, part int")
+    assert found(objects.chunk_verify(plan, got)) == [
+        ("a", 3, 2, False), ("b", 130, 125, False), ("lost", 65, 0, False), ("none", 0, 0, True),
+    ]
+    assert found(objects.missing_parts(plan, got)) == [
+        ("a", 3), *[("b", i) for i in (1, 64, 65, 128, 130)], *[("lost", i) for i in range(1, 66)],
+    ]
+    nothing = got.limit(0)
+    assert objects.chunk_verify(plan.limit(0), got).count() == objects.missing_parts(plan.limit(0), nothing).count() == 0
+
+
+def test_parts_of_one_large_object(spark):
+    # One key has all parts but every thousandth.
+    plan = spark.createDataFrame([("big", 200_000)], "key string, planned long")
+    got = spark.range(1, 200_001).filter("id % 1000 != 7").select(F.lit("big").alias("key"), F.col("id").alias("part"))
+    assert found(objects.chunk_verify(plan, got.union(got))) == [("big", 200_000, 199_800, False)]
+    assert found(objects.missing_parts(plan, got), "part") == list(range(7, 200_000, 1000))
+
+
 def test_failures_need_all_tries_to_fail(spark):
     log = [("two", False), ("two", False), ("late", False), ("late", False), ("late", True)] + [("bad", False)] * 3
     assert found(objects.failure_list(spark.createDataFrame(log, "key string, ok boolean"))) == ["bad"]

@@ -6,6 +6,7 @@ import os
 from datetime import date, datetime
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,29 @@ def test_map_samples_passes_arguments(spark):
     assert found(done) == [("a!", 10), ("b!", 20)]
 
 
+def test_projects_come_in_batches(spark):
+    # A third of all samples is of one project; none of its batches holds more than the session allows.
+    def sizes(project, batches, tag):
+        counts = [batch.num_rows for batch in batches]
+        names = pa.schema({"project": pa.string(), "n": pa.int64(), "most": pa.int64(), "tag": pa.string()})
+        yield pa.RecordBatch.from_pylist([{"project": project, "n": sum(counts), "most": max(counts), "tag": tag}], names)
+
+    project = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, F.concat(F.lit("p"), F.col("id") % 5))
+    samples = spark.range(3000).select(project.alias("project"), "id")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "100")
+    try:
+        schema = "project string, n long, most long, tag string"
+        done = {r.project: r for r in manifest.map_projects(samples, sizes, schema, "x").collect()}
+        assert manifest.map_projects(samples.limit(0), sizes, schema, "x").count() == 0
+    finally:
+        spark.conf.set(setting, before)
+    assert {p: r.n for p, r in done.items()} == {r.project: r["count"] for r in samples.groupBy("project").count().collect()}
+    assert done["hot"].n == 1000 and None in done
+    assert all(r.most <= 100 and r.tag == "x" for r in done.values())
+
+
 def test_multiply_equals_the_expression(spark):
     df = spark.createDataFrame([(2.0, 3.0), (0.1, 0.2), (None, 1.0)], "x double, y double")
     pairs = df.select(manifest.multiply("x", "y"), F.col("x") * F.col("y")).collect()

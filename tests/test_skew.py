@@ -32,7 +32,7 @@ def hot_dir(tmp_path_factory):
 @pytest.mark.parametrize(
     "name",
     ["sorted_series", "collect_urls", "quota_sample", "shuffle_order", "spot_cost", "idle_last4", "metric_arrays",
-     "prefix_bundle", "rename_join", "orphan_pairs", "chunk_verify", "page_union", "stream_dedup"],
+     "prefix_bundle", "rename_join", "orphan_pairs", "chunk_verify", "chunk_missing", "page_union", "stream_dedup"],
 )
 def test_hot_keys_and_copies(spark, hot_dir, name):
     good, found = compare(spark, connect(hot_dir), name, hot_dir)
