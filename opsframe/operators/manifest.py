@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -86,9 +86,15 @@ def map_projects(
     schema: T.StructType | str,
     *args: object,
     by: str = "project",
+    parts: int = 1,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Applies ``func(project, batches, *args)`` to the samples of each project; it yields Arrow batches.
 
+    With ``parts`` above 1, a project is dealt over that many calls by a hash of
+    the columns ``spread``, so that a project with many samples takes several
+    tasks; the results of its parts are for the caller to merge.
+
     ``batches`` is read once, in Arrow batches of at most
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` samples and in no set order,
     so a task holds one batch of a project, however many samples that has.  A
@@ -98,7 +104,12 @@ def map_projects(
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from func(key[0].as_py(), batches, *args)
 
-    return samples.groupBy(by).applyInArrow(run, schema)
+    if parts == 1:
+        return samples.groupBy(by).applyInArrow(run, schema)
+    if not spread:
+        raise ValueError("name the columns that deal a project over its parts")
+    part = F.pmod(F.xxhash64(*spread), F.lit(parts))
+    return samples.groupBy(by, part).applyInArrow(run, schema)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -117,8 +117,10 @@ def map_projects(spark, sf_dir):
         names = pa.schema({"project": pa.string(), "n": pa.int64(), "length": pa.int64(), "tag": pa.string()})
         yield pa.RecordBatch.from_pylist([{"project": project, "n": n, "length": length, "tag": tag}], names)
 
-    samples = t.table(spark, sf_dir, "documents").select(F.col("source").alias("project"), "text")
-    return manifest.map_projects(samples, totals, "project string, n long, length long, tag string", "run")
+    samples = t.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("project"), "text")
+    schema = "project string, n long, length long, tag string"
+    partial = manifest.map_projects(samples, totals, schema, "run", parts=16, spread=["doc_id"])
+    return partial.groupBy("project", "tag").agg(F.sum("n").alias("n"), F.sum("length").alias("length"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS product FROM lineitem")

@@ -98,11 +98,16 @@ def test_projects_come_in_batches(spark):
     try:
         schema = "project string, n long, most long, tag string"
         done = {r.project: r for r in manifest.map_projects(samples, sizes, schema, "x").collect()}
+        dealt = manifest.map_projects(samples, sizes, schema, "x", parts=4, spread=["id"])
+        hot = [r.n for r in dealt.collect() if r.project == "hot"]
         assert manifest.map_projects(samples.limit(0), sizes, schema, "x").count() == 0
     finally:
         spark.conf.set(setting, before)
     assert {p: r.n for p, r in done.items()} == {r.project: r["count"] for r in samples.groupBy("project").count().collect()}
     assert done["hot"].n == 1000 and None in done
+    assert sum(hot) == 1000 and len(hot) == 4 and max(hot) < 400
+    with pytest.raises(ValueError, match="columns"):
+        manifest.map_projects(samples, sizes, schema, "x", parts=4)
     assert all(r.most <= 100 and r.tag == "x" for r in done.values())
 
 
