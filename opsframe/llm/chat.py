@@ -1,7 +1,8 @@
 """Chat records of many layouts as canonical turns, and turns as formatted text with a loss mask.
 
 A record is a JSON object.  The set of its nested field paths is hashed; the hash selects a declarative mapping
-that says where the turns are.  Optional fields of a mapping give it several fingerprints.
+that says where the turns are.  Optional fields of a mapping give it several fingerprints.  In a path a backslash
+stands before every dot, bracket and backslash that belongs to a name.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -55,6 +57,10 @@ class Mapping:
     role: str | None = None
     optional: frozenset[str] = field(default=frozenset())
 
+    def is_row(self) -> bool:
+        """Whether a record is one turn and not a whole conversation."""
+        return bool(self.role or self.turn)
+
     def paths(self) -> set[str]:
         found = {p for p in (self.conversation, self.turn, self.role) if p}
         for part in self.turns:
@@ -67,20 +73,21 @@ class Mapping:
 
 def fingerprint(paths: Iterable[str]) -> str:
     """Hash of a set of nested field paths."""
-    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
+    return hashlib.sha256(json.dumps(sorted(set(paths))).encode()).hexdigest()
 
 
-def field_paths(value, at: str = "") -> Iterator[str]:
+def field_paths(value, at: str | None = None) -> Iterator[str]:
     """The paths of all leaves; list elements share the path of their list with ``[]``."""
     if isinstance(value, dict) and value:
         for key, inner in value.items():
-            yield from field_paths(inner, f"{at}.{key}" if at else key)
+            name = re.sub(r"([\\.\[\]])", r"\\\1", key)
+            yield from field_paths(inner, name if at is None else f"{at}.{name}")
     elif isinstance(value, list):
         if not value:
-            yield f"{at}[]"
+            yield f"{at or ''}[]"
         for inner in value:
-            yield from field_paths(inner, f"{at}[]")
-    else:
+            yield from field_paths(inner, f"{at or ''}[]")
+    elif at is not None:  # the empty record has no path
         yield at
 
 
@@ -109,18 +116,25 @@ MAPPINGS = [
 ]
 
 
+def _names(path: str) -> list[str]:
+    """The names a path consists of."""
+    return [re.sub(r"\\(.)", r"\1", name) for name in re.findall(r"(?:^|(?<=\.))((?:[^\\.]|\\.)*)(?:\.|$)", path)]
+
+
 def _at(record, path: str | None):
-    for key in path.split(".") if path else ():
+    for key in _names(path) if path else ():
         record = record.get(key) if isinstance(record, dict) else None
     return record if path else None
 
 
 def _text(value) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    """Lone surrogates, which no text may hold, become U+FFFD."""
+    plain = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return re.sub("[\ud800-\udfff]", "\ufffd", plain)
 
 
 def _whole(value) -> int | None:
-    return value if isinstance(value, int) and not isinstance(value, bool) else None
+    return value if isinstance(value, int) and not isinstance(value, bool) and -(1 << 63) <= value < 1 << 63 else None
 
 
 def _turns(record: dict, mapping: Mapping) -> Iterator[tuple[int | None, str, str]]:
@@ -129,26 +143,33 @@ def _turns(record: dict, mapping: Mapping) -> Iterator[tuple[int | None, str, st
     for part in mapping.turns:
         if isinstance(part, Each):
             for item in _at(record, part.items):
-                role = _text(item.get(part.role))
-                yield next(number), ROLES.get(role, role), _text(item.get(part.text))
-        elif mapping.role or mapping.turn:
+                role = _text(_at(item, part.role))
+                yield next(number), ROLES.get(role, role), _text(_at(item, part.text))
+        elif mapping.is_row():
             yield _whole(_at(record, mapping.turn)), _text(_at(record, mapping.role)), _text(_at(record, part.text))
         elif part.text not in mapping.optional or _at(record, part.text) is not None:
             yield next(number), part.role, _text(_at(record, part.text))
 
 
-def canonical_turns(records: DataFrame, column: str = "record", mappings: list[Mapping] | None = None) -> DataFrame:
+def canonical_turns(
+    records: DataFrame, column: str = "record", mappings: list[Mapping] | None = None, record_id: str | None = None
+) -> DataFrame:
     """``layout, fingerprint, conv_id, turn, role, text`` for every turn of JSON records.
 
-    Null texts and roles are empty.  A record that is null, no JSON object or of an unknown layout gives one row
-    with a null layout and nothing but its fingerprint (null if it is no object), so that it can be counted and
-    mapped.  Equal records give equal turns, each as often as the record occurs.
+    ``conv_id`` is text, so ids of any kind stay apart: strings as they are, whatever else as JSON writes it (7 and
+    "7" are one id).  A record that is a whole conversation without an id has that of the column ``record_id``, if
+    there is one, else a hash of the record; turns in rows of their own that name no conversation have a null id.
+
+    Null texts and roles are empty; lone surrogates become U+FFFD; a turn number that is not whole or leaves 64 bits
+    is null.  A record that is null, no JSON object or of an unknown layout gives one row with a null layout and
+    nothing but its fingerprint (null if it is no object), so that it can be counted and mapped.  Equal records give
+    equal turns, each as often as the record occurs.  Other columns are not looked at; no records give no row.
     """
     known = fingerprints(MAPPINGS if mappings is None else mappings)
-    schema = "layout string, fingerprint string, conv_id bigint, turn bigint, role string, text string"
-    arrow = pa.schema([("layout", pa.string()), ("fingerprint", pa.string()), ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    schema = "layout string, fingerprint string, conv_id string, turn bigint, role string, text string"
+    arrow = pa.schema([("layout", pa.string()), ("fingerprint", pa.string()), ("conv_id", pa.string()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
 
-    def convert(text: str | None) -> Iterator[tuple]:
+    def convert(text: str | None, given: str | None) -> Iterator[tuple]:
         try:
             record = json.loads(text) if text is not None else None
             key = fingerprint(field_paths(record)) if isinstance(record, dict) else None
@@ -158,17 +179,23 @@ def canonical_turns(records: DataFrame, column: str = "record", mappings: list[M
         if mapping is None:
             yield None, key, None, None, None, None
             return
-        conversation = _whole(_at(record, mapping.conversation))
+        conversation = _at(record, mapping.conversation)
+        if conversation is not None:
+            conversation = _text(conversation)
+        elif not mapping.is_row():
+            conversation = given if given is not None else f"record {hashlib.sha256(text.encode()).hexdigest()}"
         for turn, role, words in _turns(record, mapping):
             yield mapping.name, key, conversation, turn, role, words
 
     def batches_of(batches):
         for batch in batches:
-            rows = itertools.chain.from_iterable(convert(x.as_py()) for x in batch.column(0))
+            rows = itertools.chain.from_iterable(convert(x.as_py(), y.as_py()) for x, y in zip(*batch.columns))
             while part := list(itertools.islice(rows, BATCH_ROWS)):
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*part), arrow.types)], arrow)
 
-    return records.select(F.col(column).cast("string").alias("record")).mapInArrow(batches_of, schema)
+    given = F.lit(None) if record_id is None else F.col(f"`{record_id}`")
+    rows = records.select(F.col(f"`{column}`").cast("string").alias("record"), given.cast("string").alias("given"))
+    return rows.mapInArrow(batches_of, schema)
 
 
 def _quoted(text: str) -> str:
@@ -236,15 +263,15 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
     """One row per conversation, from turns as ``read_turns`` gives them.
 
     A task streams its conversations in order and holds running digests only.  Turns are ordered by number, null
-    ones first, then by role and text; rows without ``conv_id`` are one conversation.
+    ones first, then by role and text; rows without ``conv_id`` are one conversation, which one task streams.
     """
     columns = ["conv_id", "turn", "role", "text", "learnt", "chars"]
     rows = turns.select(columns).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    arrow = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+    schema = f"conv_id {rows.schema['conv_id'].dataType.simpleString()}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+    fields = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
 
     def digest(batches):
-        conversation, done = None, []
+        conversation, done, arrow = None, [], None
 
         def end():
             if conversation is not None:
@@ -255,6 +282,7 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*done), arrow.types)], arrow)
 
         for batch in batches:
+            arrow = arrow or pa.schema([("conv_id", batch.schema.field("conv_id").type), *fields])
             for key, role, text, learnt, chars in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text", "learnt", "chars"))):
                 if conversation is None or conversation[0] != key:
                     end()

@@ -36,4 +36,4 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = [{"role": role, "content": _SPEAKS_CONTROL} for role in ("user", "assistant")]
     spoken = spark.createDataFrame([(json.dumps({"conv_id": -7, "messages": said}),)], "record string")
     formatted = cut_lineage(format_turns(canonical_turns(rows.unionByName(spoken))), "chats")
-    return conversation_digests(read_turns(formatted))
+    return conversation_digests(read_turns(formatted)).withColumn("conv_id", F.col("conv_id").cast("long"))

@@ -39,13 +39,15 @@ def test_layouts(spark):
         "[1]",
         None,
     ]
-    got = sorted((tuple(r)[0:1] + tuple(r)[2:] for r in chat.canonical_turns(records(spark, values)).collect()), key=str)
+    whole = lambda c: int(c) if c and c.isdigit() else c
+    got = sorted(((r.layout, whole(r.conv_id), *tuple(r)[3:]) for r in chat.canonical_turns(records(spark, values)).collect()), key=str)
+    own = "record " + hashlib.sha256(json.dumps(values[5]).encode()).hexdigest()
     assert got == sorted([
         ("turn rows", 1, 3, "human", "a"), ("turn rows", 1, 4, "assistant", ""),
         ("messages", 2, 0, "user", "q"), ("messages", 2, 1, "assistant", ""),
         ("conversations", 3, 0, "user", "q"), ("conversations", 3, 1, "assistant", "a"),
         ("prompt", 4, 0, "user", "p"), ("prompt", 4, 1, "assistant", "c"),
-        ("prompt", None, 0, "system", "s"), ("prompt", None, 1, "user", "p"), ("prompt", None, 2, "assistant", "c"),
+        ("prompt", own, 0, "system", "s"), ("prompt", own, 1, "user", "p"), ("prompt", own, 2, "assistant", "c"),
         ("instruction", 5, 0, "user", "do"), ("instruction", 5, 1, "user", "in"), ("instruction", 5, 2, "assistant", "out"),
         ("nested prompt", 6, 0, "user", "q"), ("nested prompt", 6, 1, "assistant", "a"),
         (None, None, None, None, None), (None, None, None, None, None), (None, None, None, None, None), (None, None, None, None, None),
@@ -77,3 +79,39 @@ def test_digests_in_order(spark):
     assert (got[1].loss_chars, got[1].loss_sha256) == (2, sha("bb"))
     assert got[None].n_turns == 1 and got[2].loss_sha256 == sha("y")
     assert chat.conversation_digests(chat.read_turns(chat.format_turns(turns.filter(F.lit(False))))).count() == 0
+
+
+def test_ids_of_any_kind(spark):
+    said = [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]
+    ids = ["share_1", "share_2", 2**63, -1, True, 1.5, "", "é\ud800"]
+    values = [{"id": i, "conversations": said} for i in ids]
+    turns = chat.canonical_turns(records(spark, values))
+    got = {r.conv_id: r.n_turns for r in chat.conversation_digests(chat.read_turns(chat.format_turns(turns))).collect()}
+    assert got == dict.fromkeys(["share_1", "share_2", str(2**63), "-1", "true", "1.5", "", "é\ufffd"], 2)
+    given = records(spark, [{"conversations": said}] * 2).withColumn("a.b", F.monotonically_increasing_id())
+    assert chat.canonical_turns(given, record_id="a.b").select("conv_id").distinct().count() == 2
+    rows = chat.canonical_turns(records(spark, [{"turn": 2**63, "role": "user", "text": "x"}, {"turn": -(2**63), "role": "user"}]))
+    assert sorted(((r.conv_id, r.turn, r.text) for r in rows.collect()), key=str) == [(None, -(2**63), ""), (None, None, "x")]
+
+
+def test_odd_records_end_nothing(spark):
+    odd = [
+        {"conv_id": 1, "messages": [{"role": "user", "content": "a\ud800b"}]},
+        {"conv_id": 1, "messages[]": {"role": "user", "content": "x"}},
+        {"data.question": "q", "data.answer.text": "a"},
+        {"": {"conv_id": 1, "turn": 1, "role": "user", "text": "x"}},
+        {"conv_id": 1, "messages": []},
+        {"conv_id": 1, "messages": [None, 3]},
+        {"\ud800": 1},
+        {"": None},
+        "{" * 50_000,
+        "[" * 100_000,
+        '{"text": ' + "9" * 5000 + "}",
+    ]
+    got = chat.canonical_turns(records(spark, odd)).collect()
+    assert [(r.layout, r.text) for r in got if r.layout] == [("messages", "a\ufffdb")] and len(got) == len(odd)
+    assert [tuple(r)[2:] for r in chat.canonical_turns(records(spark, [{}])).collect()] == [(None, None, "", "")]
+    dotted = chat.Mapping("dotted", (chat.One("user", r"data\.question"), chat.One("assistant", r"a\[b\]\\c.d")), "id")
+    values = [{"id": 1, "data.question": "q", "a[b]\\c": {"d": "a"}}]
+    assert [(r.role, r.text) for r in chat.canonical_turns(records(spark, values), mappings=[dotted]).collect()] == [("user", "q"), ("assistant", "a")]
+    assert chat.canonical_turns(records(spark, [None]).filter(F.lit(False))).count() == 0
