@@ -56,23 +56,23 @@ def _runs(keys: np.ndarray, n: int) -> np.ndarray:
     return texts.distinct(texts.windows(keys, np.array([0, len(keys)]), n)[0]) if n else keys
 
 
-def item_terms(items: DataFrame, item_id: str, question: str, answer: str) -> DataFrame:
-    """``item_id, n_words, term, tf`` for every distinct term of every item."""
-    both = F.concat_ws("\n", F.coalesce(F.col(question), F.lit("")), F.coalesce(F.col(answer), F.lit("")))
-    rows = items.select(F.col(item_id).cast("long").alias("item_id"), both.alias("text"))
+def item_terms(items: DataFrame) -> DataFrame:
+    """``item, n_words, term, tf`` for every distinct term of every item."""
+    both = F.concat_ws("\n", F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit("")))
+    rows = items.select("item", both.alias("text"))
 
     def terms(batches):
         for batch in batches:
             for some, part in texts.slices(batch, "text"):
                 keys, bounds = _keys(part)
-                ids = some.column("item_id").to_numpy(zero_copy_only=False)
+                ids = some.column("item").to_numpy(zero_copy_only=False)
                 for i in range(len(part)):
                     term, tf = np.unique(keys[bounds[i] : bounds[i + 1]], return_counts=True)
                     size = bounds[i + 1] - bounds[i]
                     columns = [np.full(len(term), ids[i]), np.full(len(term), size), term.view(np.int64), tf]
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["item_id", "n_words", "term", "tf"])
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["item", "n_words", "term", "tf"])
 
-    return rows.mapInArrow(terms, "item_id bigint, n_words bigint, term bigint, tf bigint")
+    return rows.mapInArrow(terms, "item bigint, n_words bigint, term bigint, tf bigint")
 
 
 @dataclass(frozen=True)
@@ -85,36 +85,42 @@ class Index:
     run: int
 
 
-def build_index(
-    items: DataFrame, item_id: str = "item_id", question: str = "question", answer: str = "answer", run: int = 3
-) -> Index:
-    """Writes the inverted index of items, with impacts, block maxima and the runs that verify.
+def numbered_items(items: DataFrame, item_id: str, question: str, answer: str) -> DataFrame:
+    """``item, item_id, question, answer``: the distinct items that have an id, numbered once and for all.
 
-    Items without ``item_id`` or without words are left out; items that repeat an id are one item with the first text.
+    The id keeps its type.  Items of one id with different texts are items of their own.
     """
-    spark = items.sparkSession
-    named = items.filter(F.col(item_id).isNotNull()).select(
-        F.col(item_id).cast("long").alias("item_id"), F.lower(question).alias("question"), F.lower(answer).alias("answer")
+    named = items.filter(F.col(f"`{item_id}`").isNotNull()).select(
+        F.col(f"`{item_id}`").alias("item_id"),
+        *(F.lower(F.col(f"`{c}`")).alias(name) for c, name in ((question, "question"), (answer, "answer"))),
     )
-    once = named.groupBy("item_id").agg(F.min(F.struct("question", "answer")).alias("t")).select("item_id", "t.*")
-    once = cut_lineage(once, "items")
-    terms = cut_lineage(item_terms(once, "item_id", "question", "answer"), "item-terms")
-    whole = terms.select("item_id", "n_words").distinct().agg(F.count(F.lit(1)), F.avg("n_words"), F.max("n_words")).first()
+    numbered = named.distinct().select(F.monotonically_increasing_id().alias("item"), "*")
+    return cut_lineage(numbered, "items")  # written, so that the numbers stay
+
+
+def build_index(once: DataFrame, run: int = 3) -> Index:
+    """Writes the inverted index of numbered items, with impacts, block maxima and the runs that verify.
+
+    Items without words are left out.
+    """
+    spark = once.sparkSession
+    terms = cut_lineage(item_terms(once), "item-terms")
+    whole = terms.select("item", "n_words").distinct().agg(F.count(F.lit(1)), F.avg("n_words"), F.max("n_words")).first()
     uri = scratch_path(spark, "bm25")
     if not whole[0]:
         return Index(uri, 0, 0, run)
     frequency = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (whole[0] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n_words") / whole[1]))
-    scored = terms.join(frequency, "term").select("item_id", "term", (idf * part).alias("score"))
-    own = cut_lineage(scored.groupBy("item_id").agg(F.sum("score").alias("own")), "own-scores")
+    scored = terms.join(frequency, "term").select("item", "term", (idf * part).alias("score"))
+    own = cut_lineage(scored.groupBy("item").agg(F.sum("score").alias("own")), "own-scores")
     # Items are numbered within blocks of their hash, so no order over all of them is needed.
     blocks = -(-whole[0] // ITEMS_AT_ONCE)
-    block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block")
-    postings = scored.join(own, "item_id").select(block, "item_id", "term", (F.col("score") / F.col("own")).alias("impact"))
-    texts_of = once.join(own, "item_id").select(block, "item_id", F.lit(None).cast("long").alias("term"), F.lit(None).cast("double").alias("impact"), "question", "answer")
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block")
+    postings = scored.join(own, "item").select(block, "item", "term", (F.col("score") / F.col("own")).alias("impact"))
+    texts_of = once.join(own, "item").select(block, "item", F.lit(None).cast("long").alias("term"), F.lit(None).cast("double").alias("impact"), "question", "answer")
     rows = postings.withColumns({"question": F.lit(None).cast("string"), "answer": F.lit(None).cast("string")}).unionByName(texts_of)
-    dealt = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions(F.asc_nulls_first("term"), "item_id")
+    dealt = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions(F.asc_nulls_first("term"), "item")
 
     def write(batches):
         held = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
@@ -123,7 +129,7 @@ def build_index(
         table = pa.concat_tables(held)  # one block of items
         at = table.column("block")[0].as_py()
         said = table.filter(table.column("term").is_null())
-        ids = said.column("item_id").to_numpy()
+        ids = said.column("item").to_numpy()
         sets = {}
         for name in ("question", "answer"):
             keys, bounds = _keys(texts.from_arrow(said.column(name)))
@@ -132,7 +138,7 @@ def build_index(
             sets[f"{name}_sizes"] = np.minimum(np.diff(bounds), run).astype("<i8")
             sets[f"{name}_ends"] = np.cumsum([len(f) for f in found]).astype("<i8")
         listed = table.filter(table.column("term").is_valid())
-        term, item = listed.column("term").to_numpy().view(np.uint64), listed.column("item_id").to_numpy()
+        term, item = listed.column("term").to_numpy().view(np.uint64), listed.column("item").to_numpy()
         impact = listed.column("impact").to_numpy()
         place = np.argsort(ids, kind="stable")
         number = place[np.searchsorted(ids[place], item)]
@@ -297,12 +303,15 @@ def leaked_items(
     question and answer counts.  It is verified when the passage has ``overlap`` of the runs of ``run`` words of the
     question, and as much of those of the answer; a part without words needs none.
 
-    Null and empty texts retrieve nothing.  Repeated rows of ``docs`` each give their rows, rows without
-    ``doc_id`` as well.  Without documents or items there is no row.
+    Ids of documents and items keep their types.  Items without id or without words are left out, repeated ones count
+    once, and items of one id with different texts each give their rows.  Null and empty texts retrieve nothing.
+    Repeated rows of ``docs`` each give their rows, rows without ``doc_id`` as well.  Without documents or items there
+    is no row.  Long texts are searched whole, passage by passage; other columns are not looked at.
     """
-    index = build_index(items, item_id, question, answer, run)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text).cast("string")).alias("text"))
-    found = T._parse_datatype_string("item_id bigint, score double, question_overlap double, answer_overlap double, verified boolean").fields
+    once = numbered_items(items, item_id, question, answer)
+    index = build_index(once, run)
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.lower(F.col(f"`{text}`").cast("string")).alias("text"))
+    found = T._parse_datatype_string("item bigint, score double, question_overlap double, answer_overlap double, verified boolean").fields
     schema = T.StructType([rows.schema["doc_id"], *found])
 
     def search(batches):
@@ -343,4 +352,6 @@ def leaked_items(
                         names=schema.names,
                     )
 
-    return rows.mapInArrow(search, schema)
+    # What is found joins to the ids of the items alone; AQE decides how by their size.
+    ids = once.select("item", "item_id")
+    return rows.mapInArrow(search, schema).join(ids, "item").select("doc_id", "item_id", *schema.names[2:])

@@ -26,7 +26,8 @@ SCHEMA = "item_id long, question string, answer string"
 
 def test_search_is_complete(spark):
     rng = random.Random(1)
-    index = d.build_index(spark.createDataFrame(items_of(rng, 300), SCHEMA))
+    items = spark.createDataFrame(items_of(rng, 300), SCHEMA)
+    index = d.build_index(d.numbered_items(items, "item_id", "question", "answer"))
     block = d.Block(index.uri, 0)
     scores = np.zeros((len(block.terms), len(block.ids)))
     for t, (items, impacts) in enumerate(block.lists):
@@ -73,3 +74,22 @@ def test_question_and_answer_of_a_text(spark):
     rows = [("One. Two three.", "One.", "Two three."), ("a b c d e f", "a b c d", "e f"), ("", "", ""), (None, "", "")]
     frame = spark.createDataFrame([(r[0],) for r in rows], "text string")
     assert [tuple(r) for r in frame.select("text", *d.split_answer(F.col("text"))).collect()] == rows
+
+
+def test_ids_of_any_type_and_items_of_one_id(spark):
+    said = ["alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight"]
+    rows = [("q/1", said[0], "iota kappa lambda"), ("q/1", said[1], "nine ten eleven"), ("q/1", said[1], "nine ten eleven"), (None, "x y z", "w")]
+    items = spark.createDataFrame(rows, "`the.id` string, q string, a string")
+    docs = spark.createDataFrame([("d1", f"so {said[0]} iota kappa lambda"), ("d2", f"{said[1]} nine ten eleven"), ("d3", "x y z w")], "`doc.id` string, text string")
+    got = d.leaked_items(docs, items, doc_id="doc.id", item_id="the.id", question="q", answer="a")
+    assert dict(got.dtypes)["item_id"] == dict(got.dtypes)["doc_id"] == "string"
+    assert sorted((r.doc_id, r.item_id, r.verified) for r in got.collect()) == [("d1", "q/1", True), ("d2", "q/1", True)]
+
+
+def test_long_text_is_searched_whole(spark):
+    rng = random.Random(3)
+    items = items_of(rng)
+    text = " ".join(made(rng, 300_000))
+    docs = spark.createDataFrame([(1, f"{text} {items[4][1]} {items[4][2]}. {text[:1000]}")], "doc_id long, text string")
+    got = d.leaked_items(docs, spark.createDataFrame(items, SCHEMA)).filter("verified").collect()
+    assert (1, 4) in [(r.doc_id, r.item_id) for r in got]
