@@ -10,6 +10,8 @@ DataFrame functions only; texts never pass through Python.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,10 @@ _PATTERNS = [
     r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
     r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,5}){2,4}(?!\w)",
     r"(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)",
+    r"(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+    r"(?<![\w.-])0[1-9]\d{1,3}[ /-]\d{5,8}(?![\w-])",
+    r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
+    r"(?<![\w:.])(?=[A-Fa-f:]*+\d)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![\w:])",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     r"(?<![\w-])(?:\d{4}[ -]){3}\d{1,7}(?!\w)",
     r"(?<!\w)[0-9A-Fa-f]{32,}+(?!\w)",
@@ -50,7 +56,14 @@ ENTITY = "(?U)" + "|".join(f"(?:{p})" for p in _PATTERNS)
 #: What every entity has; a cheap look that spares most texts the patterns above.
 _SIGN = "[0-9@]|[A-Fa-f]{32}|" + "|".join(rf"{t}[.\h]" for t in sorted(t for kind in TITLES.values() for t in kind))
 
-MAX_ROUNDS = 100
+# Ends of Cyrillic family names that women's forms change, as those forms and what men's have instead.
+_WOMENS = r"(?<=..[оеё]в|..[иы]н)а$|(?<=..[сц]к)ая$"
+_WOMENS_ADJECTIVE = "ая$"
+
+#: After so many attempts a surrogate grows by a character: mail addresses and names, and numbers.
+GROW_AFTER, GROW_NUMBERS_AFTER = 8, 32
+#: Only IPv4 addresses, which cannot grow, could need as many.
+MAX_ROUNDS = 1000
 _ENTITY_TYPE = "array<struct<kind:string,norm:string>>"
 
 
@@ -64,7 +77,8 @@ def _kind(match: Column) -> Column:
     return (
         F.when(match.contains("@"), "email")
         .when(match.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "address")
-        .when(match.rlike(r"^[+(]"), "phone")
+        .when(match.contains(":"), "address 6")
+        .when(match.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]\d{4}$|^0\d{2,4}[ /-]\d{5,8}$"), "phone")
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "person number")
         .when(match.rlike(r"^[0-9 -]+$") & (F.length(F.regexp_replace(match, r"\D", "")) <= 26), "card")
         .when(match.rlike(r"^[0-9A-Fa-f]{32,}$"), "secret")
@@ -84,21 +98,34 @@ def _email_end(match: Column) -> Column:
 
 def _norm(kind: Column, match: Column) -> Column:
     """What makes two mentions the same entity."""
-    return F.when(kind == "address", match).when(kind == "email", F.lower(match)).otherwise(_plain(match))
+    as_is = F.when(kind == "address", match).when(kind.isin("email", "address 6"), F.lower(match))
+    return as_is.otherwise(_plain(match))
+
+
+def _family(norm: Column) -> Column:
+    """A family name as men have it, so that a woman's name and her brother's are one."""
+    mens = F.when(norm.rlike(_WOMENS_ADJECTIVE), F.regexp_replace(norm, _WOMENS, "ий"))
+    return F.when(norm.rlike(_WOMENS), mens.otherwise(F.regexp_replace(norm, _WOMENS, ""))).otherwise(norm)
 
 
 def _name_tokens(match: Column) -> Column:
-    """``kind, norm, text`` of the parts of a name behind its title."""
+    """``kind, norm, text, womens`` of the parts of a name behind its title; ``womens``: the family name's form."""
     title = F.regexp_extract(match, rf"^({_TITLE})", 1)
     gender = F.when(title.isin(TITLES["f"]), "f").when(title.isin(TITLES["m"]), "m").otherwise("n")
     parts = F.slice(F.split(match, r"\h+"), F.lit(2), F.lit(9))
     given = F.concat(F.lit("given "), gender)
-    return F.transform(
-        parts,
-        lambda part, i: F.struct(
-            F.when(i < F.size(parts) - 1, given).otherwise("family").alias("kind"), _plain(part).alias("norm"), part.alias("text")
-        ),
-    )
+
+    def token(part: Column, i: Column) -> Column:
+        family, norm = i == F.size(parts) - 1, _plain(part)
+        womens = family & ((gender == "f") | ((gender == "n") & norm.rlike(_WOMENS)))
+        return F.struct(
+            F.when(family, "family").otherwise(given).alias("kind"),
+            F.when(family, _family(norm)).otherwise(norm).alias("norm"),
+            part.alias("text"),
+            womens.alias("womens"),
+        )
+
+    return F.transform(parts, token)
 
 
 def entities(match: Column) -> Column:
@@ -129,7 +156,8 @@ def _one_of(values: list[str], number: Column) -> Column:
 
 
 def _character(kind: Column, old: Column, hashed: Column, at: Column) -> Column:
-    characters = F.when(kind == "secret", "0123456789abcdef").when(old.rlike("[0-9]"), "0123456789")
+    hexadecimal = (kind == "secret") | ((kind == "address 6") & (old != ":"))
+    characters = F.when(hexadecimal, "0123456789abcdef").when(old.rlike("[0-9]"), "0123456789")
     characters = characters.when(old.rlike(r"\p{L}"), "abcdefghijklmnopqrstuvwxyz").otherwise(old)
     return let(characters, lambda from_: F.substring(from_, _number(hashed, at, F.length(from_)) + 1, F.lit(1)))
 
@@ -156,26 +184,36 @@ def surrogate(key: Column, kind: Column, norm: Column, attempt: Column) -> Colum
             valid = F.concat(F.substring(number, F.lit(1), F.length(number) - 1), check.cast("string"))
             return F.when(_luhn_rest(norm, False) == 0, valid).otherwise(number)
 
+        def more(after: int, with_: str) -> Column:
+            return F.repeat(F.lit(with_), F.floor(attempt / after).cast("int"))
+
         end = _email_end(norm)
-        email = F.concat(spelled(F.substring(norm, F.lit(1), F.length(norm) - F.length(end))), end)
+        email = F.concat(more(GROW_AFTER, "a"), F.substring(norm, F.lit(1), F.length(norm) - F.length(end)))
+        email = F.concat(spelled(email), end)
         address = F.array_join(
             F.transform(F.split(norm, r"\."), lambda _, i: (_number(hashed, i, 254) + 1).cast("string")), "."
         )
         cyrillic = norm.rlike(r"\p{IsCyrillic}")
-        last = F.least(F.greatest(F.length(norm) - 5, F.lit(1)), F.lit(4)) + F.floor(attempt / 8).cast("int")
+        last = F.least(F.greatest(F.length(norm) - 5, F.lit(1)), F.lit(4)) + F.floor(attempt / GROW_AFTER).cast("int")
         syllables = F.when(cyrillic, F.array(*map(F.lit, _CYRILLIC))).otherwise(F.array(*map(F.lit, _LATIN)))
         stem = F.transform(F.sequence(F.lit(0), last), lambda i: F.get(syllables, _number(hashed, i, len(_LATIN))))
         ends = [F.when(kind == k, F.when(cyrillic, e[1]).otherwise(e[0])) for k, e in _ENDS.items()]
         name = F.concat(F.array_join(stem, ""), F.coalesce(*ends))
         chosen = F.when(kind == "email", email).when(kind == "address", address).when(kind.isin(*_ENDS), name)
-        chosen = chosen.when((kind == "card") & norm.rlike("^[0-9]+$"), let(spelled(norm), with_check))
-        return chosen.otherwise(spelled(norm))
+        longer = F.concat(norm, more(GROW_NUMBERS_AFTER, "0"))
+        chosen = chosen.when((kind == "card") & norm.rlike("^[0-9]+$"), let(spelled(longer), with_check))
+        # A short address with :: has room for more groups; one of eight groups has not, nor does it need any.
+        chosen = chosen.when(kind == "address 6", spelled(F.when(norm.contains("::"), F.concat(norm, more(GROW_NUMBERS_AFTER, ":0000"))).otherwise(norm)))
+        return chosen.otherwise(spelled(longer))
 
     return let(_hash(key, kind, norm, attempt), made)
 
 
 def _shaped(old: Column, new: Column) -> Column:
-    """``new`` in the format and case of ``old``: its characters stand where the letters and digits of ``old`` do."""
+    """``new`` in the format and case of ``old``: its characters stand where the letters and digits of ``old`` do.
+
+    What ``new`` has more comes last.
+    """
     step = lambda acc, c: F.when(
         c.rlike(r"[\p{L}\p{N}]"),
         F.struct(
@@ -184,7 +222,8 @@ def _shaped(old: Column, new: Column) -> Column:
         ),
     ).otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["at"].alias("at")))
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
-    return F.aggregate(F.split(old, ""), start, step, lambda acc: acc["out"])
+    rest = lambda acc: F.substring(new, acc["at"], F.length(new))
+    return F.aggregate(F.split(old, ""), start, step, lambda acc: F.concat(acc["out"], rest(acc)))
 
 
 def replacement(key: Column, match: Column, attempts: Column) -> Column:
@@ -197,7 +236,9 @@ def replacement(key: Column, match: Column, attempts: Column) -> Column:
 
     def named(token: Column) -> Column:
         upper = token["text"].rlike(r"^\p{Lu}\p{Lu}+$")
-        return let(made(token), lambda new: F.when(upper, F.upper(new)).otherwise(F.initcap(new)))
+        # All Cyrillic family names made here end alike, so women's forms do too.
+        end = F.when(token["womens"] & token["norm"].rlike(r"\p{IsCyrillic}"), "а").otherwise("")
+        return let(F.concat(made(token), end), lambda new: F.when(upper, F.upper(new)).otherwise(F.initcap(new)))
 
     title = F.regexp_extract(match, rf"^((?:{_TITLE})\.?\h+)", 1)
     name = F.concat(title, F.array_join(F.transform(_name_tokens(match), named), " "))
@@ -205,8 +246,9 @@ def replacement(key: Column, match: Column, attempts: Column) -> Column:
     def replaced(entity: Column) -> Column:
         as_is = entity["kind"].isin("email", "address")
         # The digits of a secret may be letters in its surrogate, so it has the case of the whole.
-        lower, upper = ((entity["kind"] == "secret") & ~match.rlike(other) for other in ("[A-F]", "[a-f]"))
-        return let(made(entity), lambda new: F.when(as_is | lower, new).when(upper, F.upper(new)).otherwise(_shaped(match, new)))
+        lower, upper = (entity["kind"].isin("secret", "address 6") & ~match.rlike(other) for other in ("[A-F]", "[a-f]"))
+        of_kind = lambda new: F.when(as_is | lower, new).when(upper, F.upper(new)).when(entity["kind"] == "address 6", new)
+        return let(made(entity), lambda new: of_kind(new).otherwise(_shaped(match, new)))
 
     def of(kind: Column) -> Column:
         entity = F.struct(kind.alias("kind"), _norm(kind, match).alias("norm"))
@@ -240,11 +282,19 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
 
     Entities are mail and network addresses, phone, card, account and person numbers, long hexadecimal secrets, and
     names behind a title.  The same entity has the same surrogate in every document; different ones have different
-    ones, none of which is an entity that occurs.  Null texts stay null and have no entities.  Rows that repeat are
-    treated alike; an empty table gives no row.  ``key`` decides which surrogates are made and must be kept secret.
+    ones, none of which is an entity that occurs.  Where a format has too few, as short mail addresses have,
+    surrogates grow.  A Cyrillic family name in a woman's form is that in the man's form, and keeps its form.  Network
+    addresses are the same if they are written the same but for case.
+
+    Null and empty texts stay and have no entities.  Rows that repeat are treated alike; an empty table gives no row;
+    texts of any length are replaced whole.  If ``docs`` has a column ``n_entities``, the new one is ``n_entities_2``, and
+    so on.  ``key`` decides which surrogates are made and must be kept secret.
     """
     secret = F.lit(key)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    taken = {c.lower() for c in docs.columns}
+    names = (f"n_entities_{n}" if n > 1 else "n_entities" for n in itertools.count(1))
+    counted = next(name for name in names if name not in taken)
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     each = rows.select("doc_id", text_hash(F.col("text")).alias("text_hash"), F.explode(matches(F.col("text"))).alias("match"))
     each = each.select("doc_id", "text_hash", F.explode(entities(F.col("match"))).alias("e"))
     mentioned = cut_lineage(each.select("doc_id", "text_hash", "e.kind", "e.norm").distinct(), "mentions")
@@ -263,5 +313,5 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     replaced = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(body)
     return joined.select(
         *(replaced.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns),
-        F.coalesce(F.size("_found"), F.lit(0)).cast("long").alias("n_entities"),
+        F.coalesce(F.size("_found"), F.lit(0)).cast("long").alias(counted),
     )

@@ -1,7 +1,10 @@
 """Surrogates: formats, coreference, distinctness where they would collide, whole tables."""
 
+import hashlib
 import re
 
+import regex
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from opsframe.llm import surrogates as s
@@ -22,6 +25,7 @@ def replaced(spark, rows, key="k"):
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, kind int, norm string")
     out = s.replace_entities(frame, key)
     assert out.columns == ["doc_id", "text", "kind", "norm", "n_entities"]
+    assert s.replace_entities(frame.withColumnRenamed("kind", "N_ENTITIES"), key).columns[-1] == "n_entities_2"
     return out.collect()
 
 
@@ -83,3 +87,137 @@ def test_secrets_of_either_case_and_any_length(spark):
     assert new[0] == new[0].upper() and new[1] == new[1].lower()
     assert len({x.lower() for x in new[:3]}) == 1 and len({x.lower() for x in new}) == 4
     assert got[len(secrets)].n_entities == 0
+
+
+MORE = [
+    (10, "Call 555-123-4567 or (555) 123-4567 or 030 1234567; not 555-1234 nor 2024-01-02-555-123-4567."),
+    (11, "From 2001:db8::1 and 2001:DB8::1, FE80:0:0:0:0:0:0:1 or fe80:0:0:0:0:0:0:1; not 12:30:45, a::b, std::c1."),
+    (12, "Госпожа Анна Петрова и Господин Иван Петров, Dr. Петрова, Prof. Достоевская, Господин Достоевский, Dr Лист"),
+    (13, "Sr José Álvarez, Mr O'Neil-Smith III; Ms Anna ANNA"),
+]
+
+
+def plain_surrogate(key, kind, norm, attempt):
+    h = hashlib.sha256("\x1f".join([key, kind, norm, str(attempt)]).encode()).hexdigest()
+    h = hashlib.sha256((key + h).encode()).hexdigest()
+    number = lambda at, most: (int(h[at * 2 % 62 :][:4], 16) + at // 31 * 7) % most
+
+    def spelled(text):
+        out = ""
+        for at, c in enumerate(text):
+            digits = "0123456789"
+            some = digits + "abcdef" if kind == "secret" or (kind == "address 6" and c != ":") else digits if c in digits else "abcdefghijklmnopqrstuvwxyz" if c.isalpha() else c
+            out += some[number(at, len(some))]
+        return out
+
+    if kind == "email":
+        local, end = norm.rsplit(".", 1)
+        return spelled("a" * (attempt // 8) + local) + "." + end
+    if kind == "address":
+        return ".".join(str(number(i, 254) + 1) for i in range(4))
+    if kind == "address 6":
+        return spelled(norm + ":0000" * (attempt // 32) * ("::" in norm))
+    if kind == "family" or kind.startswith("given"):
+        cyrillic = regex.search(r"\p{Cyrillic}", norm) is not None
+        syllables = s._CYRILLIC if cyrillic else s._LATIN
+        size = min(max(len(norm) - 5, 1), 4) + attempt // 8 + 1
+        return "".join(syllables[number(i, 32)] for i in range(size)) + s._ENDS[kind][cyrillic]
+    made = spelled(norm + "0" * (attempt // 32))
+    if kind == "card" and luhn(norm) == 0:
+        made = next(made[:-1] + d for d in "0123456789" if luhn(made[:-1] + d) == 0)
+    return made
+
+
+def plain_entities(match):
+    """Kind and norm of each part, with what stands around it and how it is written."""
+    title = regex.match(rf"({s._TITLE})\.?[ \t]+", match)
+    if title and "@" not in match:
+        sex = next(k for k, of in s.TITLES.items() if title[1] in of)
+        parts = match[title.end() :].split()
+        for i, part in enumerate(parts):
+            norm = regex.sub(r"[^\p{L}\p{N}]", "", part).lower()
+            if i < len(parts) - 1:
+                yield f"given {sex}", norm, part, ""
+                continue
+            mens = regex.sub(r"(?<=..[сц]к)ая$", "ий", regex.sub(r"(?<=..(?:[оеё]в|[иы]н))а$", "", norm))
+            womens = sex == "f" or (sex == "n" and mens != norm)
+            yield "family", mens, part, "а" if womens and regex.search(r"\p{Cyrillic}", norm) else ""
+        return
+    bare = regex.sub(r"[^\p{L}\p{N}]", "", match).lower()
+    if "@" in match:
+        yield "email", match.lower(), match, ""
+    elif ":" in match:
+        yield "address 6", match.lower(), match, ""
+    elif match.count(".") == 3 and bare.isdigit():
+        yield "address", match, match, ""
+    elif match[0] in "+(" or re.fullmatch(r"\d{3}[.-]\d{3}[.-]\d{4}|0\d{2,4}[ /-]\d{5,8}", match):
+        yield "phone", bare, match, ""
+    elif re.fullmatch(r"\d{3}-\d{2}-\d{4}", match):
+        yield "person number", bare, match, ""
+    elif bare.isdigit() and len(bare) <= 26:
+        yield "card", bare, match, ""
+    else:
+        yield "secret" if re.fullmatch("[0-9A-Fa-f]{32,}", match) else "account", bare, match, ""
+
+
+def plain(texts, key):
+    pattern = regex.compile(s.ENTITY.replace("(?U)", "").replace(r"\h", r"[ \t]"))
+    real = {e[:2] for t in texts for m in pattern.findall(t or "") for e in plain_entities(m)}
+    attempt = dict.fromkeys(real, 0)
+    while True:
+        made = {e: plain_surrogate(key, *e, n) for e, n in attempt.items()}
+        first = {}
+        for e in sorted(real, key=lambda e: (attempt[e], e[1])):
+            first.setdefault((e[0], made[e]), e)
+        again = [e for e in real if first[e[0], made[e]] != e or (e[0], made[e]) in real]
+        if not again:
+            break
+        for e in again:
+            attempt[e] += 1
+
+    def new(match):
+        out = []
+        for kind, norm, written, end in plain_entities(match[0]):
+            text = made[kind, norm] + end
+            if kind == "family" or kind.startswith("given"):
+                text = text.upper() if regex.match(r"\p{Lu}\p{Lu}+$", written) else text.capitalize()
+            elif kind in ("secret", "address 6") and not re.search("[A-F]", written):
+                pass
+            elif kind in ("secret", "address 6") and not re.search("[a-f]", written):
+                text = text.upper()
+            elif kind not in ("email", "address", "address 6"):
+                left = iter(text)
+                text = "".join(c if not regex.match(r"[\p{L}\p{N}]", c) else x.upper() if c.isupper() else x for c in written for x in [next(left) if regex.match(r"[\p{L}\p{N}]", c) else ""])
+                text += "".join(left)
+            out.append(text)
+        title = regex.match(rf"({s._TITLE})\.?[ \t]+", match[0])
+        return (title[0] if title and kind in ("family",) else "") + " ".join(out)
+
+    return [t and pattern.sub(new, t) for t in texts]
+
+
+def test_equals_plain_version(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/../sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    rows += [(-i - 1, text) for i, (_, text) in enumerate([*ROWS, *MORE])]
+    wanted = dict(zip([i for i, _ in rows], plain([t for _, t in rows], "k")))
+    got = s.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    assert len(got) == len(rows) and sum(r.n_entities for r in got) > 100
+    assert [(r.doc_id, r.text) for r in got if r.text != wanted[r.doc_id]] == []
+
+
+def test_numbers_addresses_and_womens_names(spark):
+    got = {r.doc_id: r.text for r in replaced(spark, MORE)}
+    phones = re.fullmatch(r"Call (\d{3}-\d{3}-\d{4}) or \((\d{3}\) \d{3}-\d{4}) or (\d{3} \d{7}); not 555-1234 nor .*", got[10])
+    assert phones[1] == phones[2].replace(") ", "-") != "555-123-4567" and phones[3] != "030 1234567"
+    hosts = re.fullmatch(r"From (\w+:\w+::\w) and (\w+:\w+::\w), (\w{4}(?::\w){7}) or (\w{4}(?::\w){7}); not 12:30:45, a::b, std::c1\.", got[11])
+    assert hosts[1] == hosts[2].lower() and hosts[3] == hosts[4].upper() and hosts[1] != "2001:db8::1"
+    names = re.fullmatch(r"Госпожа \w+ (\w+) и Господин \w+ (\w+), Dr\. (\w+), Prof\. (\w+), Господин (\w+), Dr (\w+)", got[12])
+    assert names[1] == names[3] == names[2] + "а" and names[4] == names[5] + "а" and names[6][-1] == "в" and names[2] != names[5]
+
+
+def test_short_mails_grow_where_all_are_taken(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"{a}@{b}.co") for i, (a, b) in enumerate((a, b) for a in letters for b in letters)]
+    made = [r.text for r in replaced(spark, rows)]
+    assert len(set(made)) == len(rows) and not set(made) & {t for _, t in rows}
+    assert all(re.fullmatch(r"[a-z]{2,3}@[a-z]\.co|[a-z]{1,3}@[a-z]\.co", m) for m in made)
