@@ -34,21 +34,25 @@ _ENDS = {"given f": ("lia", "лия"), "given m": ("don", "дон"), "given n":
 
 _TITLE = "|".join(t for kind in TITLES.values() for t in kind)
 _NAME = r"\p{Lu}[\p{L}'’-]*+"
-_PATTERNS = [
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+_ADDRESS_6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[A-Fa-f:]*+\d)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}"
+_NUMBERS = [
     r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
     r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,5}){2,4}(?!\w)",
     r"(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)",
     r"(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
     r"(?<![\w.-])0[1-9]\d{1,3}[ /-]\d{5,8}(?![\w-])",
-    r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
-    r"(?<![\w:.])(?=[A-Fa-f:]*+\d)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![\w:])",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     r"(?<![\w-])(?:\d{4}[ -]){3}\d{1,7}(?!\w)",
-    r"(?<!\w)[0-9A-Fa-f]{32,}+(?!\w)",
-    r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     r"(?<!\w)\d{13,19}+(?!\w)",
-    rf"(?<!\w)(?:{_TITLE})\.?\h+{_NAME}(?:\h+{_NAME}){{0,2}}",
+]
+_HEXADECIMAL = [r"(?<!\w)[0-9A-Fa-f]{32,}+(?!\w)", rf"(?<![\w:.])(?:{_ADDRESS_6})(?![\w:])"]
+#: Behind a look at the next character, so that few places are tried against all of a group.
+_PATTERNS = [
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    rf"(?=[\d+(])(?:{'|'.join(_NUMBERS)})",
+    rf"(?=[0-9A-Fa-f]{{1,4}}:|[0-9A-Fa-f]{{32}})(?:{'|'.join(_HEXADECIMAL)})",
+    r"(?=[A-Z]{2}\d)(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    rf"(?=\p{{Lu}}|[{''.join(sorted({t[0] for kind in TITLES.values() for t in kind if t[0].islower()}))}])(?<!\w)(?:{_TITLE})\.?\h+{_NAME}(?:\h+{_NAME}){{0,2}}",
 ]
 #: One match for each entity; for \w and \b Unicode counts.
 ENTITY = "(?U)" + "|".join(f"(?:{p})" for p in _PATTERNS)
