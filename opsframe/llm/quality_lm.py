@@ -2,10 +2,10 @@
 
 N-grams of the trusted texts are counted in Spark.  Continuation counts, context totals and probabilities come from
 joins of the count tables, whose keys are dealt to shards like those of any join; the finished table is stored in
-shards, and each task joins the n-grams of its documents with it in memory.  Trusted text is a sample of bounded
-size, so the table is bounded; every document is scored whole, and each language sets its own thresholds: one on
-perplexity, and one on what is left of it when n-grams that repeat nearby are counted once, for a text that repeats
-ordinary words is as likely as any other to a model that looks at four bytes.
+shards, and each task joins the n-grams of its documents with it in memory.  All trusted text has a part: one half of
+the documents is counted whole, the other sets the thresholds.  Every document is scored whole, and each language sets
+its own thresholds: one on perplexity, and one on what is left of it when n-grams that repeat nearby are counted once,
+for a text that repeats ordinary words is as likely as any other to a model that looks at four bytes.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ ORDER = 4
 BEGIN, END = 256, 257
 SYMBOLS = 258
 SHARDS = 8
-#: Trusted documents that the model is trained on; those with the smallest hashes of their ids are taken.
-MAX_TRAIN_DOCS = 5000
+#: N-grams that a task holds before it sums them, and passes them on where that leaves more than half.
+BUFFERED_GRAMS = 1 << 19
 #: Bytes of average text that a document's score is smoothed by, as the shortest texts say little.
 PRIOR_BYTES = 50
 #: Symbols of a text within which an n-gram that occurs again is not new.
@@ -66,12 +66,27 @@ def _grams(symbols: np.ndarray, bounds: np.ndarray, base: int) -> tuple[np.ndarr
 def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
     """``gram, c``: how often each n-gram of the texts occurs."""
 
+    def counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        return sorted_counts.summed(*(np.concatenate(x) for x in zip(*held)))
+
+    def sent(gram: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(gram, pa.int64()), pa.array(c.astype(np.int64))], names=["gram", "c"])
+
     def count(batches):
+        held, size = [], 0
         for batch in batches:
             for _, part in texts.slices(batch, "text", SCORED_BYTES):
                 symbols, bounds = _symbols(part, BEGIN, END, np.arange(256))
-                gram, c = np.unique(_grams(symbols, bounds, SYMBOLS)[0], return_counts=True)
-                yield pa.record_batch([pa.array(gram, pa.int64()), pa.array(c, pa.int64())], names=["gram", "c"])
+                held.append(sorted_counts.summed(_grams(symbols, bounds, SYMBOLS)[0]))
+                size += len(held[-1][0])
+                if size >= BUFFERED_GRAMS:
+                    held = [counted(held)]
+                    size = len(held[0][0])
+                    if 2 * size > BUFFERED_GRAMS:
+                        yield sent(*held[0])
+                        held, size = [], 0
+        if held:
+            yield sent(*counted(held))
 
     rows = docs.select(F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(count, "gram bigint, c bigint").groupBy("gram").agg(F.sum("c").alias("c"))
@@ -261,13 +276,12 @@ def perplexity_quality(
     text: str = "text",
     lang: str = "lang",
     quantile: float = 0.997,
-    max_train_docs: int = MAX_TRAIN_DOCS,
     prior_bytes: int = PRIOR_BYTES,
     low: DataFrame | None = None,
 ) -> DataFrame:
     """``doc_id, lang, text_hash, n_symbols, perplexity, threshold, kept`` for every row of ``docs``.
 
-    ``trusted`` has the ids of trusted documents; half of them, ``max_train_docs`` at most, train the model.  The others
+    ``trusted`` has the ids of trusted documents; half of them, by a hash of the id, train the model.  The others
     and ``low``, the ids of low-quality documents, set for each language the perplexity that a document may not pass,
     and, by those that do not, how small a share of it may be left without n-grams that repeat nearby.  Where fewer than ``MIN_TRUSTED``
     low-quality documents are known, ``quantile`` of the trusted ones stay below the one and above the other.  Perplexity is per
@@ -281,18 +295,13 @@ def perplexity_quality(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"))
     rows = rows.withColumn("text_hash", text_hash(F.col("text")))
     ids = trusted.select(F.col(trusted.columns[0]).alias("doc_id")).filter("doc_id is not null").distinct()
-    place = F.xxhash64(F.lit(17), "doc_id")
-    there = ids.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
     half = F.pmod(F.xxhash64(F.lit(18), "doc_id"), F.lit(2)) == 0
-    chosen = cut_lineage(there.filter(half).orderBy(place, "doc_id").limit(max_train_docs), "training-ids")
-    # No more than max_train_docs ids.
-    training = rows.join(F.broadcast(chosen), "doc_id", "left_semi")
+    training = rows.select("doc_id", "text").join(ids.filter(half), "doc_id", "left_semi")
     uri = scratch_path(spark, "byte-model")
     store_model(kneser_ney(cut_lineage(count_grams(training), "byte-grams")), uri)
     scores = cut_lineage(byte_scores(rows, uri, ["doc_id", "lang", "text_hash"]), "byte-scores")
 
-    held_out = ids.join(F.broadcast(chosen), "doc_id", "left_anti")
-    known = held_out.select("doc_id", F.lit(False).alias("low"))
+    known = ids.filter(~half).select("doc_id", F.lit(False).alias("low"))
     if low is not None:
         poor = low.select(F.col(low.columns[0]).alias("doc_id")).filter("doc_id is not null").distinct()
         known = known.unionByName(poor.join(ids, "doc_id", "left_anti").select("doc_id", F.lit(True).alias("low")))

@@ -159,3 +159,23 @@ def test_repeated_ordinary_words_are_junk(spark):
         kept = {r.doc_id for r in q.perplexity_quality(docs, trusted, low=known).collect() if r.kept}
         assert not [i for i in kept if i >= 1000]
         assert len([i for i in kept if i < 300]) >= 290
+
+
+def test_all_trusted_text_is_counted(spark, monkeypatch):
+    # More trusted documents than any bound on the training text once allowed, and far more n-grams than a task holds.
+    monkeypatch.setattr(q, "BUFFERED_GRAMS", 64)
+    counted = []
+    count_grams = q.count_grams
+    monkeypatch.setattr(q, "count_grams", lambda docs: counted.append(count_grams(docs)) or counted[-1])
+    docs = spark.range(14_000).selectExpr("id AS doc_id", "concat('a text ', id) AS text", "'en' AS lang")
+    trusted = docs.select("doc_id").filter("doc_id >= 1000")
+    assert q.perplexity_quality(docs, trusted).count() == 14_000
+    half = trusted.filter("pmod(xxhash64(18, doc_id), 2) = 0")
+    grams = Counter()
+    for r in half.collect():
+        s = [q.BEGIN] * 3 + list(f"a text {r.doc_id}".encode()) + [q.END]
+        for i in range(3, len(s)):
+            a, b, c, d = s[i - 3 : i + 1]
+            grams[((a * q.SYMBOLS + b) * q.SYMBOLS + c) * q.SYMBOLS + d] += 1
+    assert half.count() > 6000
+    assert {r.gram: r.c for r in counted[0].collect()} == grams
