@@ -1,8 +1,8 @@
 """Quality by perplexity: an interpolated modified Kneser-Ney model of the bytes of trusted text.
 
 N-grams of the trusted texts are counted in Spark.  Continuation counts, context totals and probabilities come from
-joins of the count tables, whose keys are dealt to shards like those of any join; the finished table is stored in
-shards, and each task joins the n-grams of its documents with it in memory.  All trusted text has a part: one half of
+joins of the count tables, whose keys are dealt to shards like those of any join; the finished table is stored in order
+of its contexts, and each task looks the different n-grams of some text up in it, mapped into memory and shared.  All trusted text has a part: one half of
 the documents is counted whole, the other sets the thresholds.  Every document is scored whole, and each language sets
 its own thresholds: one on perplexity, and one on what is left of it when n-grams that repeat nearby are counted once,
 for a text that repeats ordinary words is as likely as any other to a model that looks at four bytes.
@@ -20,12 +20,11 @@ from pyspark.sql import types as T
 
 from opsframe.llm import sorted_counts, texts
 from opsframe.llm.line_dedup import text_hash
-from opsframe.storage import cut_lineage, scratch_path
+from opsframe.storage import arrow_rows, cut_lineage, scratch_path
 
 ORDER = 4
 BEGIN, END = 256, 257
 SYMBOLS = 258
-SHARDS = 8
 #: N-grams that a task holds before it sums them, and passes them on where that leaves more than half.
 BUFFERED_GRAMS = 1 << 19
 #: Bytes of average text that a document's score is smoothed by, as the shortest texts say little.
@@ -38,7 +37,9 @@ MIN_TRUSTED = 20
 #: Share of the trusted documents that a limit may cost where it parts them from low-quality ones.
 MAX_LOSS = 0.02
 #: Bytes of text scored at once; a longer text is scored in blocks of so many, each after the symbols before it.
-SCORED_BYTES = 1 << 19
+SCORED_BYTES = 1 << 17
+#: Documents that reach a task at once where texts are counted and scored.
+BATCH_ROWS = 500
 
 
 def _symbols(part: texts.Texts, begin: int, end: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,61 +138,73 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 
 def store_model(model: DataFrame, uri: str) -> None:
-    """Writes the table in shards of its keys."""
-    dealt = model.withColumn("shard", F.pmod(F.xxhash64("n", "gram"), F.lit(SHARDS)).cast("int"))
+    """Writes the table in order of its keys, in parts that no context is divided between.
+
+    The key of an n-gram has a leading one, so that n-grams of all orders are told apart; those of one context lie
+    side by side.
+    """
+    one = F.element_at(F.array(*(F.lit(SYMBOLS**n) for n in range(1, ORDER + 1))), F.col("n"))
+    keyed = model.select((F.col("gram") + one).alias("key"), "logp", "gamma").withColumn("context", F.floor(F.col("key") / SYMBOLS))
+    dealt = keyed.repartitionByRange(sorted_counts.shards_of(model.sparkSession), "context").sortWithinPartitions("key")
 
     def write(batches):
         held = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if held:
             table = pa.concat_tables(held)
-            at = table.column("shard")[0].as_py()
+            first = table.column("context")[0].as_py()
             for kind, dtype in _KINDS.items():
-                sorted_counts.write_file(uri, f"{at:06d}.{kind}", [table.column(kind).to_numpy().astype(dtype)])
-            yield pa.record_batch([pa.array([at], pa.int32())], names=["shard"])
+                sorted_counts.write_file(uri, f"{first:013d}.{kind}", [table.column(kind).to_numpy().astype(dtype)])
+            yield pa.record_batch([pa.array([first], pa.int64())], names=["context"])
 
-    found = dealt.repartitionById(SHARDS, F.col("shard")).mapInArrow(write, "shard int").collect()
-    for at in set(range(SHARDS)) - {r.shard for r in found}:
-        for kind in _KINDS:
-            sorted_counts.write_file(uri, f"{at:06d}.{kind}", [])
+    found = dealt.mapInArrow(write, "context bigint").collect()
+    sorted_counts.write_file(uri, "contexts", [np.array(sorted(r.context for r in found), "<i8")])
 
 
-_KINDS = {"n": "<i4", "gram": "<i8", "logp": "<f8", "gamma": "<f8"}
+_KINDS = {"key": "<i8", "logp": "<f8", "gamma": "<f8"}
 
 
 class Scorer:
-    """The stored table: lower orders filled in for all n-grams of the symbols that occur, the highest as sorted keys."""
+    """The stored table, whose parts are mapped when first needed."""
 
     def __init__(self, uri: str):
-        n, gram, logp, gamma = (
-            np.concatenate([sorted_counts.map_file(uri, f"{at:06d}.{k}", t) for at in range(SHARDS)]) for k, t in _KINDS.items()
-        )
-        self.seen = np.union1d(gram[n == 1], [BEGIN, END])
-        self.base = base = len(self.seen) + 1  # the last stands for all symbols never seen
-        code = np.searchsorted(self.seen, np.arange(SYMBOLS))
-        code[~np.isin(np.arange(SYMBOLS), self.seen)] = base - 1
-        self.code, self.begin, self.end = code[:256], int(code[BEGIN]), int(code[END])
-
-        def recoded(grams: np.ndarray, order: int) -> np.ndarray:
-            out = np.zeros(len(grams), np.int64)
-            for k in range(order - 1, -1, -1):
-                out = out * base + code[grams // SYMBOLS**k % SYMBOLS]
-            return out
-
-        below = np.full(1, np.log10(1.0 / (SYMBOLS - 1)))
-        for order in range(1, ORDER + 1):
-            mine = n == order
-            keys = recoded(gram[mine], order)
-            left = np.zeros(base ** (order - 1))
-            left[keys // base] = gamma[mine]
-            if order == ORDER:
-                at = np.argsort(keys)
-                self.keys, self.logp, self.left, self.below = keys[at], logp[mine][at], left, below
-            else:
-                # Of a context the last symbols, all but the first, are the context of the order below.
-                lower = np.full((1, base), below[0]) if order == 1 else np.tile(below.reshape(-1, base), (base, 1))
-                filled = (left[:, None] + lower).reshape(-1)
-                filled[keys] = logp[mine]
-                below = filled
+        self.uri, self.opened = uri, {}
+        self.firsts = np.asarray(sorted_counts.map_file(uri, "contexts", "<i8"))
+        symbols = np.arange(SYMBOLS)
+        seen = self._looked_up(symbols + SYMBOLS, np.zeros(SYMBOLS))[1]
+        seen[[BEGIN, END]] = True
+        code = np.where(seen, symbols, symbols[~seen][0] if not seen.all() else 0)  # one stands for all symbols never seen
+        self.code, self.begin, self.end = code[:256], BEGIN, END
+
+    def _part(self, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if first not in self.opened:
+            self.opened[first] = tuple(np.asarray(sorted_counts.map_file(self.uri, f"{first:013d}.{k}", t)) for k, t in _KINDS.items())
+        return self.opened[first]
+
+    def _looked_up(self, keys: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For keys in order and what the order below says: the log10 probability, and whether the n-gram is in the table."""
+        contexts = keys // SYMBOLS
+        out, found = below.copy(), np.zeros(len(keys), bool)
+        cuts = np.append(np.searchsorted(contexts, self.firsts), len(keys))
+        for i in np.flatnonzero(np.diff(cuts)):
+            some = slice(cuts[i], cuts[i + 1])
+            key, logp, gamma = self._part(int(self.firsts[i]))
+            at = np.searchsorted(key, keys[some])
+            # Of a context that is not quite new, an n-gram lies at the place looked up or before it.
+            here, before = np.minimum(at, len(key) - 1), np.maximum(at - 1, 0)
+            context = key[here] // SYMBOLS == contexts[some]
+            known = context | (key[before] // SYMBOLS == contexts[some])
+            found[some] = hit = key[here] == keys[some]
+            out[some] = np.where(hit, logp[here], np.where(known, gamma[np.where(context, here, before)], 0.0) + below[some])
+        return out, found
+
+    def _logp(self, grams: np.ndarray, order: int) -> np.ndarray:
+        """The log10 probability of n-grams in order, each of them there once."""
+        if order == 1:
+            below = np.full(len(grams), np.log10(1.0 / (SYMBOLS - 1)))
+        else:
+            suffixes, which = np.unique(grams % SYMBOLS ** (order - 1), return_inverse=True)
+            below = self._logp(suffixes, order - 1)[which]
+        return self._looked_up(grams + SYMBOLS**order, below)[0]
 
     def score(self, part: texts.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Number of symbols and log10 probability of each text, its end included."""
@@ -215,19 +228,19 @@ class Scorer:
             yield symbols, np.array([0, len(symbols)])
 
     def _scored(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        grams, where = _grams(symbols, bounds, self.base)
-        logp = self.left[grams // self.base] + self.below[grams % self.base ** (ORDER - 1)]
-        if len(self.keys):
-            at = np.searchsorted(self.keys, grams)
-            at[at == len(self.keys)] = 0
-            hit = np.flatnonzero(self.keys[at] == grams)
-            logp[hit] = self.logp[at[hit]]
+        grams, where = _grams(symbols, bounds, SYMBOLS)
         n = np.diff(where)
         in_text = np.arange(len(grams)) - np.repeat(where[:-1], n)
         windows = np.cumsum(in_text % WINDOW == 0)
-        _, first = np.unique(windows * self.base**ORDER + grams, return_index=True)
-        new = np.zeros(len(grams))
-        new[first] = logp[first]
+        # Numbers of n-gram and place: a sort of them brings equal n-grams together, the first of each window ahead.
+        bits = len(grams).bit_length()
+        ordered = np.sort(grams << bits | np.arange(len(grams)))
+        at, ordered = ordered & ((1 << bits) - 1), ordered >> bits
+        other = np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]
+        found = self._logp(ordered[other], ORDER)[np.cumsum(other) - 1]
+        first = other | np.append(True, np.diff(windows[at]) != 0)[: len(ordered)]
+        logp, new = np.zeros((2, len(grams)))
+        logp[at], new[at] = found, np.where(first, found, 0.0)
         total, total_new = (np.concatenate([[0.0], np.cumsum(x)]) for x in (logp, new))
         return n, total[where[1:]] - total[where[:-1]], total_new[where[1:]] - total_new[where[:-1]]
 
@@ -298,8 +311,11 @@ def perplexity_quality(
     half = F.pmod(F.xxhash64(F.lit(18), "doc_id"), F.lit(2)) == 0
     training = rows.select("doc_id", "text").join(ids.filter(half), "doc_id", "left_semi")
     uri = scratch_path(spark, "byte-model")
-    store_model(kneser_ney(cut_lineage(count_grams(training), "byte-grams")), uri)
-    scores = cut_lineage(byte_scores(rows, uri, ["doc_id", "lang", "text_hash"]), "byte-scores")
+    with arrow_rows(spark, BATCH_ROWS):
+        grams = cut_lineage(count_grams(training), "byte-grams")
+    store_model(kneser_ney(grams), uri)
+    with arrow_rows(spark, BATCH_ROWS):
+        scores = cut_lineage(byte_scores(rows, uri, ["doc_id", "lang", "text_hash"]), "byte-scores")
 
     known = ids.filter(~half).select("doc_id", F.lit(False).alias("low"))
     if low is not None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -79,6 +81,18 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows, or as many as the session allows, in the jobs run meanwhile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows if int(before) <= 0 else min(rows, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path for use within tasks, and the path in it; names of Spark's S3 schemes are understood."""
     try:

@@ -13,7 +13,7 @@ import pytest
 from opsframe.llm import kneser_ney as k
 from opsframe.llm import quality_lm as q
 from opsframe.llm import texts
-from opsframe.storage import scratch_path
+from opsframe.storage import arrow_rows, scratch_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -179,3 +179,43 @@ def test_all_trusted_text_is_counted(spark, monkeypatch):
             grams[((a * q.SYMBOLS + b) * q.SYMBOLS + c) * q.SYMBOLS + d] += 1
     assert half.count() > 6000
     assert {r.gram: r.c for r in counted[0].collect()} == grams
+
+
+def test_model_in_parts(spark):
+    # Parts are mapped, and those of all contexts together say what one table does.
+    docs = spark.createDataFrame([("the cat sat on the mat " * 3,), ("a dog and a cat",)], "text string")
+    model = q.kneser_ney(q.count_grams(docs)).localCheckpoint()
+    said = texts.from_arrow(pa.array(["the cat and a dog", "", "xyz the mat the mat", "\x00the"]))
+    setting, found, parts = "spark.sql.shuffle.partitions", [], []
+    before = spark.conf.get(setting)
+    try:
+        for n in (1, 40):
+            spark.conf.set(setting, n)
+            uri = scratch_path(spark, "byte-test")
+            q.store_model(model, uri)
+            scorer = q.Scorer(uri)
+            found.append([x.tolist() for x in scorer.score_new(said)])
+            parts.append(len(scorer.firsts))
+            assert all(not x.flags.owndata for part in scorer.opened.values() for x in part)
+    finally:
+        spark.conf.set(setting, before)
+    assert found[0] == found[1]
+    assert parts[0] == 1 and parts[1] > 20
+
+
+def test_batches_of_few_rows(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows])], names=["n"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    most = lambda: max(r.n for r in spark.range(3000).coalesce(1).mapInArrow(sizes, "n long").collect())
+    try:
+        for own, rows, expected in ((10_000, 100, 100), (50, 100, 50), (0, 100, 100)):
+            spark.conf.set(setting, own)
+            with arrow_rows(spark, rows):
+                assert most() == expected
+            assert spark.conf.get(setting) == str(own)
+    finally:
+        spark.conf.set(setting, before)
