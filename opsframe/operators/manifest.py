@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -68,14 +69,19 @@ def map_samples(
 
     ``func`` gets a pandas frame with one row per sample.  Batches are limited
     by ``spark.sql.execution.arrow.maxRecordsPerBatch``; a project with many
-    samples is spread like any other rows.  ``partitions`` spreads few samples
-    with long work over more tasks.
+    samples is spread like any other rows; a task lets go of each batch before
+    long.  ``partitions`` spreads few samples with long work over more tasks.
     """
     spread = samples.repartition(partitions) if partitions else samples
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield func(batch, *args)
+            done = func(batch, *args)
+            del batch
+            yield done
+            del done
+            # Accessors such as .str tie a column to itself; a batch has too few objects to make Python look for that.
+            gc.collect()
 
     return spread.mapInPandas(run, schema)
 

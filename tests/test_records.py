@@ -3,6 +3,7 @@
 import glob
 import gzip
 import os
+import weakref
 from datetime import date, datetime
 
 import pandas as pd
@@ -83,6 +84,23 @@ def test_map_samples_passes_arguments(spark):
     assert found(done) == [("a!", 10), ("b!", 20)]
 
 
+def test_map_samples_lets_go_of_batches(spark):
+    def held(batch, frames):
+        batch["text"].str.len()  # ties the column to itself
+        frames.append(weakref.ref(batch["text"].str))
+        return pd.DataFrame({"n": [sum(f() is not None for f in frames)]})
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "100")
+    try:
+        samples = spark.range(4000).selectExpr("repeat('x', 10) AS text").coalesce(1)
+        found_held = [r.n for r in manifest.map_samples(samples, held, "n long", []).collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert len(found_held) == 40 and max(found_held) <= 4
+
+
 def test_projects_come_in_batches(spark):
     # A third of all samples is of one project; none of its batches holds more than the session allows.
     def sizes(project, batches, tag):
