@@ -309,7 +309,8 @@ def perplexity_quality(
     rows = rows.withColumn("text_hash", text_hash(F.col("text")))
     ids = trusted.select(F.col(trusted.columns[0]).alias("doc_id")).filter("doc_id is not null").distinct()
     half = F.pmod(F.xxhash64(F.lit(18), "doc_id"), F.lit(2)) == 0
-    training = rows.select("doc_id", "text").join(ids.filter(half), "doc_id", "left_semi")
+    # The ids grow with the documents: they are dealt like these, never sent to every task.
+    training = rows.select("doc_id", "text").filter(half).join(ids.filter(half).hint("shuffle_hash"), "doc_id", "left_semi")
     uri = scratch_path(spark, "byte-model")
     with arrow_rows(spark, BATCH_ROWS):
         grams = cut_lineage(count_grams(training), "byte-grams")
