@@ -1,8 +1,9 @@
 """Byte-level BPE: distinct words are encoded by folding ranked merges over their bytes; decoding joins binary pieces.
 
 Texts are cut where the split pattern always ends a match, so that a cut piece gives the same matches anywhere.
-Each distinct piece is encoded once, in Spark, with higher-order functions and the ranks as a literal.  The codes go
-to sorted arrays in the shared folder, which the tasks that encode the documents map into memory: a vocabulary grows
+Each distinct piece is encoded once, in Spark, with higher-order functions and the ranks as a scalar subquery, whose
+value is no part of the plan: the text of a plan, which the driver makes anew for each stage, would hold all of them.
+The codes go to sorted arrays in the shared folder, which the tasks that encode the documents map into memory: a vocabulary grows
 with the corpus, so it is neither broadcast nor joined to every word of every text.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from opsframe.llm import sorted_counts, texts
 from opsframe.storage import scratch_path
 
-#: Maps that the literal ranks are dealt to, by hash; a lookup reads one of them.
+#: Maps that the ranks are dealt to, by hash; a lookup reads one of them.
 RANK_MAPS = 1 << 16
 #: Longer words are merged with a heap instead of a fold, whose time is cubic in their length.
 FOLD_BYTES = 64
@@ -133,13 +134,14 @@ def _joined(*arrays: Column) -> Column:
     return F.flatten(F.array(*arrays))
 
 
-def rank_maps(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
-    """The literal ranks of hexadecimal bytes: maps in an array, chosen by a hash of the bytes."""
+def rank_maps(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """A row with the ranks of hexadecimal bytes: maps in an array, chosen by a hash of the bytes."""
     named = spark.createDataFrame([(token.hex().upper(), rank) for token, rank in ranks.items()], "token string, rank int")
     dealt: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
     for row in named.select("token", "rank", _rank_map(F.col("token")).alias("at")).collect():
         dealt[row["at"]][row["token"]] = row["rank"]
-    return F.from_json(F.lit(json.dumps(dealt, separators=(",", ":"))), "array<map<string,int>>")
+    listed = spark.createDataFrame([(json.dumps(dealt, separators=(",", ":")),)], "maps string")
+    return listed.select(F.from_json("maps", "array<map<string,int>>").alias("maps"))
 
 
 def _rank_map(token: Column) -> Column:
@@ -219,15 +221,15 @@ def encode_pieces(found: DataFrame, pattern: str, ranks: dict[bytes, int]) -> Da
     words = F.regexp_extract_all("piece", F.lit(f"(?U){pattern}"), F.lit(0))
     short = lambda w: F.octet_length(w) <= FOLD_BYTES
 
-    def encoded(maps: Column) -> Column:
+    def encoded(words: Column, maps: Column) -> Column:
         rank = lambda token: F.try_element_at(F.get(maps, _rank_map(token)), token)
-        return F.transform("words", lambda w: F.when(short(w), _let(F.hex(w), lambda h: fold_merges(h, rank))))
+        codes = F.transform(words, lambda w: F.when(short(w), _let(F.hex(w), lambda h: fold_merges(h, rank))))
+        return F.struct(F.filter(words, lambda w: ~short(w)).alias("long"), codes.alias("codes"))
 
-    # The literal stands in the plan once, whatever it is used for.
-    codes = _let(rank_maps(found.sparkSession, ranks), encoded)
-    return found.withColumn("words", words).select(
-        "shard", "piece", F.filter("words", lambda w: ~short(w)).alias("long"), codes.alias("codes")
-    )
+    # The column of the maps is named once, so that Spark puts the subquery in its place and no row carries them.
+    both = _let(words, lambda words: _let(F.col("maps"), lambda maps: encoded(words, maps)))
+    known = found.withColumn("maps", rank_maps(found.sparkSession, ranks).scalar())
+    return known.select("shard", "piece", both.alias("both")).select("shard", "piece", "both.*")
 
 
 def write_codes(encoded: DataFrame, uri: str, ranks: dict[bytes, int]) -> list[int]:
@@ -351,18 +353,29 @@ def encode(docs: DataFrame, pattern: str, ranks: dict[bytes, int], doc_id: str =
     return rows.mapInArrow(run, schema)
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes that ids stand for: their binary pieces, looked up in a literal array, one behind the other."""
+def _hexed(ranks: dict[bytes, int]) -> str:
+    """The hexadecimal bytes of all tokens by rank, as JSON."""
     hexed = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         hexed[rank] = token.hex()
-    literal = F.from_json(F.lit(json.dumps(hexed)), "array<string>")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(literal, i)), ""))
+    return json.dumps(hexed)
+
+
+def _bytes_of(ids: Column, hexed: Column) -> Column:
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(hexed, i)), ""))
+
+
+def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The bytes that ids stand for: their binary pieces, looked up in a literal array, one behind the other."""
+    return _bytes_of(ids, F.from_json(F.lit(_hexed(ranks)), "array<string>"))
 
 
 def round_trip(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The encoded rows with ``decoded`` in place of ``text``: the bytes of the ids, which have to be those of the text."""
+    listed = encoded.sparkSession.createDataFrame([(_hexed(ranks),)], "hexed string")
+    # As with the maps: named once, in a projection that leaves the column out.
+    known = encoded.withColumn("hexed", listed.select(F.from_json("hexed", "array<string>").alias("hexed")).scalar())
+    decoded = known.select(*encoded.columns, _bytes_of(F.col("ids"), F.col("hexed")).alias("decoded"))
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     differs = F.raise_error(F.concat(F.lit("ids do not decode to the text of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("a row without id"))))
-    decoded = encoded.withColumn("decoded", decode(F.col("ids"), ranks))
     return decoded.withColumn("decoded", F.when(same, F.col("decoded")).otherwise(differs.cast("binary"))).drop("text")

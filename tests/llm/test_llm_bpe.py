@@ -67,3 +67,21 @@ def test_pieces_cover_the_text(ranks):
         assert b"".join(cut[bounds[0] : bounds[1]]) == (text or "").encode() == b"".join(cut[bounds[2] : bounds[3]])
         ids = [i for piece in cut[bounds[0] : bounds[1]] for i in own.encode_ordinary(piece.decode())]
         assert ids == own.encode_ordinary(text or "")
+
+
+def test_plans_do_not_hold_the_ranks(spark, ranks):
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    found = b.encode_pieces(b.distinct_pieces(docs.select("text"), 2), public_tokenizers.PATTERN, ranks)
+    decoded = b.round_trip(b.encode(docs, public_tokenizers.PATTERN, ranks), ranks)
+    for rows, name in ((found, "maps"), (decoded, "hexed")):
+        plan = rows._jdf.queryExecution()
+        assert len(plan.toString()) < 100_000
+        assert plan.executedPlan().toString().count(f" AS {name}#") == 1  # in the subquery alone: no row carries them
+    assert bytes(decoded.head().decoded) == b"some words"
+
+
+def test_ids_that_do_not_decode_to_the_text(spark, ranks):
+    docs = spark.createDataFrame([(7, "some words")], "doc_id long, text string")
+    encoded = b.encode(docs, public_tokenizers.PATTERN, ranks).withColumn("text", F.lit("other words"))
+    with pytest.raises(Exception, match="ids do not decode to the text of 7"):
+        b.round_trip(encoded, ranks).collect()
